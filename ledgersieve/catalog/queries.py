@@ -49,10 +49,9 @@ def _judged(bronze: inject.Bronze) -> quarantine.JudgedHeaders:
         staging.stage_headers(bronze.headers), staging.stage_suppliers(bronze.suppliers))
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> tuple[inject.Bronze, build.Layers]:
-    """For outputs that read several layers: each layer is stored once, then read."""
-    bronze = _bronze(spark, sf_dir).stored()
-    return bronze, build.build_layers(bronze, Warehouse(spark, new_folder(spark, "layers")))
+def _layers(spark: SparkSession, sf_dir: str, *kept: str) -> build.Layers:
+    """For outputs that read several layers; `kept` are the tables read more than once."""
+    return build.Layers(_bronze(spark, sf_dir).stored(), Warehouse(spark, new_folder(spark, "layers")), kept)
 
 
 # --- staging ---------------------------------------------------------------------------
@@ -183,8 +182,8 @@ def check_custom(spark, sf_dir):
 
 
 def check_report(spark, sf_dir):
-    bronze, layers = _layers(spark, sf_dir)
-    hot = bronze.hot_item_pos
+    layers = _layers(spark, sf_dir, *build.SILVER)
+    hot = layers.bronze.hot_item_pos
     all_checks = po_checks.staging_checks(hot) + po_checks.silver_checks(hot)
     return c.check_report(all_checks, layers.checked_tables())
 
@@ -209,23 +208,23 @@ def stored_failures(spark, sf_dir):
 
 
 def issue_recall(spark, sf_dir):
-    bronze, layers = _layers(spark, sf_dir)
-    return evaluation.issue_recall(bronze.answer_key, layers.quarantined, evaluation.issue_rule_map(spark))
+    layers = _layers(spark, sf_dir)
+    return evaluation.issue_recall(layers.bronze.answer_key, layers.quarantined, evaluation.issue_rule_map(spark))
 
 
 def rule_precision(spark, sf_dir):
-    bronze, layers = _layers(spark, sf_dir)
-    return evaluation.rule_precision(bronze.answer_key, layers.quarantined, evaluation.issue_rule_map(spark))
+    layers = _layers(spark, sf_dir)
+    return evaluation.rule_precision(layers.bronze.answer_key, layers.quarantined, evaluation.issue_rule_map(spark))
 
 
 def run_metrics(spark, sf_dir):
-    _, layers = _layers(spark, sf_dir)
+    layers = _layers(spark, sf_dir, "quarantine.po_items")
     return plain(monitoring.run_metrics(layers.staging, layers.silver, layers.quarantined, FIRST_RUN))
 
 
 def monitoring_latest(spark, sf_dir):
     """Two runs are appended; the view shows the second."""
-    _, layers = _layers(spark, sf_dir)
+    layers = _layers(spark, sf_dir, *build.QUARANTINE, *build.SILVER)
     history = new_folder(spark, "run-history")
     for run_at in (FIRST_RUN, SECOND_RUN):
         metrics = monitoring.run_metrics(layers.staging, layers.silver, layers.quarantined, run_at)
@@ -234,7 +233,7 @@ def monitoring_latest(spark, sf_dir):
 
 
 def row_accounting(spark, sf_dir):
-    _, layers = _layers(spark, sf_dir)
+    layers = _layers(spark, sf_dir, "quarantine.po_items")
     return monitoring.row_accounting(
         layers.staging["po_headers"], layers.staging["po_items"], layers.silver["po_headers"],
         layers.silver["po_items"], layers.quarantined_headers, layers.quarantined_items)
@@ -259,7 +258,7 @@ def _synthetic(spark: SparkSession, sf_dir: str):
     """One made-up order per stored order, and one supplier per hundred of them."""
     orders = fixtures.table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("po_no"))
     suppliers = max(3, orders.count() // SYNTH_SUPPLIERS_PER_ORDER)
-    return synth.synthesize(spark, orders, suppliers, SYNTH_SEED)
+    return synth.SyntheticOrders(spark, orders, suppliers, SYNTH_SEED)
 
 
 def synthetic_suppliers(spark, sf_dir):
@@ -267,15 +266,15 @@ def synthetic_suppliers(spark, sf_dir):
 
 
 def synthetic_headers(spark, sf_dir):
-    return plain(_synthetic(spark, sf_dir).headers.drop("po_no", "supplier_no"))
+    return plain(_synthetic(spark, sf_dir).headers.drop("order_hash", "supplier_hash", "supplier_no"))
 
 
 def synthetic_items(spark, sf_dir):
-    return plain(_synthetic(spark, sf_dir).items.drop("po_no", "line"))
+    return plain(_synthetic(spark, sf_dir).items)
 
 
 def seeded_answer_key(spark, sf_dir):
-    return inject.inject(synth.without_extra_issues(_synthetic(spark, sf_dir))).answer_key
+    return inject.Bronze(_synthetic(spark, sf_dir)).answer_key
 
 
 # --- the same operators on the tables as they are ----------------------------------------

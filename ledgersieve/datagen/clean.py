@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -11,6 +10,7 @@ from ledgersieve.operators.skew import HotKey
 
 # One issue type owns one of SLOTS slots, so it hits 0.5% of the orders and no order
 # gets two of them: a draw without replacement that needs no sort and no state.
+# A slot that is not listed leaves the order clean.
 SLOTS = 200
 SLOT = {
     "missing_currency": 0,
@@ -21,12 +21,12 @@ SLOT = {
     "missing_item_field": 5,
     "exact_duplicate_header": 6,
     "near_duplicate_po": 7,
+    # The last two are there to test rules; seeded data does not use them.
     "missing_order_date": 8,
     "orphan_po": 9,
 }
 
 
-@dataclass(frozen=True)
 class Clean:
     """
     suppliers  supplier_id, name, country, payment_terms, created_date; make_variant (boolean)
@@ -40,4 +40,4 @@ class Clean:
     headers: DataFrame
     items: DataFrame
     orphan_supplier_id: str
-    hot_item_pos: Sequence[HotKey] | None = None
+    hot_item_pos: Sequence[HotKey] | None

@@ -6,18 +6,16 @@ The same rules can be stated in any SQL engine, so results can be compared row b
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ledgersieve.datagen.clean import SLOTS, Clean
-from ledgersieve.datagen.inject import Bronze, inject
-from ledgersieve.functions.convert import padded
+from ledgersieve.datagen.inject import Bronze
 from ledgersieve.operators.ranking import number_rows
 from ledgersieve.operators.skew import HotKey, find_hot_keys, skew_safe_join
 from ledgersieve.schemas import COUNTRIES, PAYMENT_TERMS
 
-ORPHAN_SUPPLIER = "S99999999"
 _ID_DIGITS = 8
 
 
@@ -25,89 +23,88 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _nth(values: Sequence[str], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
+def _nth(values: Sequence[str], position: str) -> str:
+    return f"element_at(array({', '.join(map(repr, values))}), int({position} + 1))"
 
 
-def _keyed(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), padded(key, _ID_DIGITS))
+def _keyed(prefix: str, key: str) -> str:
+    """Prefix and zero-padded number; a longer number keeps every digit."""
+    return f"concat('{prefix}', lpad(string({key}), greatest(length(string({key})), {_ID_DIGITS}), '0'))"
 
 
 def _as_ids(prefix: str, hot: Sequence[HotKey]) -> list[HotKey]:
-    return [
-        HotKey(None if h.value is None else f"{prefix}{h.value:0{_ID_DIGITS}d}", h.fanout) for h in hot
-    ]
-
-
-def _suppliers(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    return customer.select(
-        _keyed("S", key).alias("supplier_id"),
-        F.col("c_name").alias("name"),
-        _nth(COUNTRIES, F.col("c_nationkey") % len(COUNTRIES)).alias("country"),
-        _nth(PAYMENT_TERMS, key % len(PAYMENT_TERMS)).alias("payment_terms"),
-        F.lit("2015-01-01").alias("created_date"),
-        key.isin(0, 1, 2).alias("make_variant"),
-    )
-
-
-def _headers(orders: DataFrame) -> DataFrame:
-    return orders.select(
-        _keyed("PO", F.col("o_orderkey")).alias("po_id"),
-        _keyed("S", F.col("o_custkey")).alias("supplier_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.when(F.col("o_custkey") % 2 == 0, "EUR").otherwise("USD").alias("currency"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("total_amount"),
-        (F.col("o_orderkey") % SLOTS).alias("slot"),
-        F.lit("EURO").alias("bad_currency"),
-    )
-
-
-def _items(
-    lineitem: DataFrame, orders: DataFrame, part: DataFrame,
-    hot_orders: Sequence[HotKey], hot_parts: Sequence[HotKey],
-) -> DataFrame:
-    # Lines equal on these are interchangeable below, so no further tie-break is carried along.
-    order = ["l_linenumber", "l_partkey", "l_quantity"]
-    lines = number_rows(lineitem.select("l_orderkey", *order), "l_orderkey", order, hot_orders, "n")
-    dates = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("order_date"))
-    goods = part.select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
-    lines = skew_safe_join(lines, dates, "l_orderkey", "left", hot_orders)
-    lines = skew_safe_join(lines, goods, "l_partkey", "left", hot_parts)
-
-    draw = F.col("l_orderkey") * 7 + F.col("n")
-    price_outlier = draw % 67 == 0
-    return lines.select(
-        _keyed("PO", F.col("l_orderkey")).alias("po_id"),
-        (F.col("n") * 10).alias("item_no"),
-        F.col("p_name").alias("description"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"),
-        F.date_add("order_date", (F.col("l_partkey") % 41 + 5).cast("int")).alias("delivery_date"),
-        "order_date",
-        F.col("p_type").alias("true_category"),
-        (F.col("l_orderkey") % SLOTS).alias("slot"),
-        F.when(F.col("l_orderkey") % (2 * SLOTS) < SLOTS, "description").otherwise("quantity").alias("blank_field"),
-        (F.col("l_partkey") % 30 + 1).cast("int").alias("early_days"),
-        F.when(price_outlier, 50).alias("price_factor"),
-        F.when(~price_outlier & (draw % 101 == 1), 50).alias("quantity_factor"),
-    )
-
-
-def clean_orders(spark: SparkSession, sf_dir: str) -> Clean:
-    customer, orders, part, lineitem = (table(spark, sf_dir, t) for t in ("customer", "orders", "part", "lineitem"))
-    in_lines = find_hot_keys(lineitem, "l_orderkey", "l_partkey")
-    return Clean(
-        suppliers=_suppliers(customer),
-        headers=_headers(orders),
-        items=_items(lineitem, orders, part, in_lines["l_orderkey"], in_lines["l_partkey"]),
-        orphan_supplier_id=ORPHAN_SUPPLIER,
-        hot_item_pos=[
-            key for prefix in ("PO", "ND") for key in _as_ids(prefix, in_lines["l_orderkey"])
-            if prefix == "PO" or key.value is not None
-        ],
-    )
+    return [HotKey(None if h.value is None else f"{prefix}{h.value:0{_ID_DIGITS}d}", h.fanout) for h in hot]
+
+
+class TableOrders(Clean):
+    """Suppliers from customer, headers from orders, items from lineitem, orders and part."""
+
+    orphan_supplier_id = "S99999999"
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def _table(self, name: str) -> DataFrame:
+        return table(self._spark, self._sf_dir, name)
+
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        return self._table("customer").selectExpr(
+            f"{_keyed('S', 'c_custkey')} AS supplier_id",
+            "c_name AS name",
+            f"{_nth(COUNTRIES, f'c_nationkey % {len(COUNTRIES)}')} AS country",
+            f"{_nth(PAYMENT_TERMS, f'c_custkey % {len(PAYMENT_TERMS)}')} AS payment_terms",
+            "'2015-01-01' AS created_date",
+            "c_custkey IN (0, 1, 2) AS make_variant",
+        )
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        return self._table("orders").selectExpr(
+            f"{_keyed('PO', 'o_orderkey')} AS po_id",
+            f"{_keyed('S', 'o_custkey')} AS supplier_id",
+            "date(o_orderdate) AS order_date",
+            "if(o_custkey % 2 = 0, 'EUR', 'USD') AS currency",
+            "cast(o_totalprice AS decimal(18,2)) AS total_amount",
+            f"o_orderkey % {SLOTS} AS slot",
+            "'EURO' AS bad_currency",
+        )
+
+    @cached_property
+    def _hot(self) -> dict[str, list[HotKey]]:
+        return find_hot_keys(self._table("lineitem"), "l_orderkey", "l_partkey")
+
+    @cached_property
+    def hot_item_pos(self) -> list[HotKey]:
+        named = [k for k in self._hot["l_orderkey"] if k.value is not None]
+        return _as_ids("PO", self._hot["l_orderkey"]) + _as_ids("ND", named)
+
+    @cached_property
+    def items(self) -> DataFrame:
+        # Lines equal on these are interchangeable below, so no further tie-break is carried along.
+        order = ["l_linenumber", "l_partkey", "l_quantity"]
+        lineitem = self._table("lineitem").select("l_orderkey", *order)
+        dates = self._table("orders").selectExpr("o_orderkey AS l_orderkey", "date(o_orderdate) AS order_date")
+        goods = self._table("part").selectExpr("p_partkey AS l_partkey", "p_name", "p_type", "p_retailprice")
+        lines = number_rows(lineitem, "l_orderkey", order, self._hot["l_orderkey"], "n")
+        lines = skew_safe_join(lines, dates, "l_orderkey", "left", self._hot["l_orderkey"])
+        lines = skew_safe_join(lines, goods, "l_partkey", "left", self._hot["l_partkey"])
+        return lines.selectExpr(
+            f"{_keyed('PO', 'l_orderkey')} AS po_id",
+            "n * 10 AS item_no",
+            "p_name AS description",
+            "bigint(l_quantity) AS quantity",
+            "cast(p_retailprice AS decimal(18,2)) AS unit_price",
+            "date_add(order_date, int(l_partkey % 41 + 5)) AS delivery_date",
+            "order_date",
+            "p_type AS true_category",
+            f"l_orderkey % {SLOTS} AS slot",
+            f"if(l_orderkey % {2 * SLOTS} < {SLOTS}, 'description', 'quantity') AS blank_field",
+            "int(l_partkey % 30 + 1) AS early_days",
+            "if((l_orderkey * 7 + n) % 67 = 0, 50, NULL) AS price_factor",
+            "if((l_orderkey * 7 + n) % 67 <> 0 AND (l_orderkey * 7 + n) % 101 = 1, 50, NULL) AS quantity_factor",
+        )
 
 
 def bronze_from_tables(spark: SparkSession, sf_dir: str) -> Bronze:
-    return inject(clean_orders(spark, sf_dir))
+    return Bronze(TableOrders(spark, sf_dir))

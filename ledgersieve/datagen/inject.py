@@ -7,49 +7,161 @@ changed. Copies (duplicates, near-duplicates) come from the same pass as their o
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgersieve.datagen.clean import SLOT, Clean
-from ledgersieve.functions.convert import line_key
 from ledgersieve.operators.skew import HotKey
 from ledgersieve.sources.cut import cut
 
-_ISSUE = "struct<table_name:string,record_id:string,issue_type:string,detail:string,ml_target:string>"
+_ISSUE_TYPE = "struct<table_name:string,record_id:string,issue_type:string,detail:string,ml_target:string>"
+_NO_ISSUES = f"cast(array() as array<{_ISSUE_TYPE}>)"
 
 
-def _issue(table: str, record_id: Column, issue_type: str, detail: Column, ml: bool = False) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        record_id.alias("record_id"),
-        F.lit(issue_type).alias("issue_type"),
-        detail.alias("detail"),
-        F.lit(str(ml)).alias("ml_target"),
+def _issue(table: str, record_id: str, issue_type: str, detail: str, ml: bool = False) -> str:
+    return (
+        f"named_struct('table_name', '{table}', 'record_id', {record_id}, 'issue_type', '{issue_type}', "
+        f"'detail', {detail}, 'ml_target', '{ml}')"
     )
 
 
-def _in_slot(issue_type: str) -> Column:
-    return F.col("slot") == SLOT[issue_type]
+def _present(*cases: tuple[str, str]) -> str:
+    """The values whose condition holds, as an array."""
+    return "array_compact(array(" + ", ".join(f"CASE WHEN {hit} THEN {value} END" for hit, value in cases) + "))"
 
 
-def _issues(*candidates: tuple[Column, Column]) -> Column:
-    marked = [F.when(hit, issue) for hit, issue in candidates]
-    return F.array_compact(F.array(*marked)).cast(f"array<{_ISSUE}>").alias("issues")
+def _row(**columns: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in columns.items()) + ")"
 
 
-_NO_ISSUES = f"cast(array() as array<{_ISSUE}>)"
+def _explode_rows(df: DataFrame, rows: str) -> DataFrame:
+    return df.select(F.expr(f"explode({rows})").alias("r")).select("r.*")
+
+
+def _near_id(po_id: str = "po_id") -> str:
+    return f"concat('ND', substring({po_id}, 3))"
+
+
+def _dirty_headers(clean: Clean) -> DataFrame:
+    slot = {name: f"slot = {number}" for name, number in SLOT.items()}
+    details = {
+        "missing_currency": "'currency set to NULL'",
+        "invalid_currency": "concat('currency = ', bad_currency)",
+        "bad_date_format": "'order_date as DD.MM.YYYY'",
+        "orphan_supplier": f"'supplier_id {clean.orphan_supplier_id} does not exist'",
+        "exact_duplicate_header": "'header row duplicated'",
+        "near_duplicate_po": "concat('copy of ', po_id, ', order_date +1 day')",
+        "missing_order_date": "'order_date set to NULL'",
+    }
+    issues = _present(*[
+        (slot[name], _issue("po_headers", _near_id() if name == "near_duplicate_po" else "po_id", name, detail))
+        for name, detail in details.items()
+    ])
+    date_text = f"""CASE WHEN {slot['bad_date_format']} THEN date_format(order_date, 'dd.MM.yyyy')
+        WHEN {slot['missing_order_date']} THEN NULL ELSE string(order_date) END"""
+
+    def row(po_id: str, order_date: str, marks: str) -> str:
+        return _row(
+            po_id=po_id,
+            supplier_id=f"if({slot['orphan_supplier']}, '{clean.orphan_supplier_id}', supplier_id)",
+            order_date=order_date,
+            currency=f"""CASE WHEN {slot['missing_currency']} THEN NULL
+                WHEN {slot['invalid_currency']} THEN bad_currency ELSE currency END""",
+            total_amount="string(total_amount)",
+            issues=marks,
+        )
+
+    rows = _present(
+        ("true", row("po_id", date_text, issues)),
+        (slot["exact_duplicate_header"], row("po_id", date_text, _NO_ISSUES)),
+        (slot["near_duplicate_po"], row(_near_id(), "string(date_add(order_date, 1))", _NO_ISSUES)),
+    )
+    return _explode_rows(clean.headers, rows)
+
+
+def _dirty_items(clean: Clean) -> DataFrame:
+    first = {name: f"(slot = {number} AND item_no = 10)" for name, number in SLOT.items()}
+    early, lost_parent = first["delivery_before_order"], first["orphan_po"]
+    no_description = f"({first['missing_item_field']} AND blank_field = 'description')"
+    no_quantity = f"({first['missing_item_field']} AND blank_field = 'quantity')"
+    po_id = f"if({lost_parent}, concat('PX', substring(po_id, 3)), po_id)"
+    record = f"concat({po_id}, '|', string(item_no))"
+    issues = _present(
+        ("price_factor IS NOT NULL",
+         _issue("po_items", record, "price_outlier", "concat('unit_price x', price_factor)", ml=True)),
+        (f"quantity_factor IS NOT NULL AND NOT {no_quantity}",
+         _issue("po_items", record, "quantity_outlier", "concat('quantity x', quantity_factor)", ml=True)),
+        (early, _issue("po_items", record, "delivery_before_order", "'delivery_date earlier than order_date'")),
+        (f"{no_description} OR {no_quantity}",
+         _issue("po_items", record, "missing_item_field", "concat(blank_field, ' set to NULL')")),
+        (lost_parent, _issue("po_items", record, "orphan_po", "'po_id has no header'")),
+    )
+
+    def row(new_id: str, marks: str) -> str:
+        return _row(
+            po_id=new_id,
+            item_no="string(item_no)",
+            description=f"if({no_description}, NULL, description)",
+            quantity=f"if({no_quantity}, NULL, string(quantity * coalesce(quantity_factor, 1)))",
+            unit_price="string(cast(unit_price * coalesce(price_factor, 1) as decimal(18,2)))",
+            delivery_date=f"string(if({early}, date_sub(order_date, early_days), delivery_date))",
+            true_category="true_category",
+            issues=marks,
+        )
+
+    near_duplicate = f"slot = {SLOT['near_duplicate_po']}"
+    rows = _present(("true", row(po_id, issues)), (near_duplicate, row(_near_id(), _NO_ISSUES)))
+    return _explode_rows(clean.items, rows)
+
+
+def _with_name_variants(clean: Clean) -> DataFrame:
+    def row(supplier_id: str, name: str, marks: str) -> str:
+        return _row(supplier_id=supplier_id, name=name, country="country", payment_terms="payment_terms",
+                    created_date="string(created_date)", issues=marks)
+
+    variant = "concat('V', substring(supplier_id, 2))"
+    issue = _issue("suppliers", variant, "inconsistent_supplier_name",
+                   "concat('variant of ', supplier_id, ' (', name, ')')")
+    rows = _present(
+        ("true", row("supplier_id", "name", _NO_ISSUES)),
+        ("make_variant", row(variant, "concat(upper(replace(name, ',', '')), ' Gmbh.')", f"array({issue})")),
+    )
+    return _explode_rows(clean.suppliers, rows)
 
 
-@dataclass(frozen=True)
 class Bronze:
-    """Dirty text tables. The frames also hold `issues`; the properties are the tables."""
+    """Dirty text tables, each built when first asked for.
+
+    The `…_marked` frames also hold the issues of each row. With `store`, a frame is
+    written once when first asked for and read from then on.
+    """
+
+    def __init__(self, clean: Clean, store: bool = False):
+        self._clean, self._store = clean, store
+
+    def stored(self) -> Bronze:
+        return Bronze(self._clean, store=True)
+
+    def _keep(self, df: DataFrame, label: str) -> DataFrame:
+        return cut(df, label) if self._store else df
+
+    @cached_property
+    def suppliers_marked(self) -> DataFrame:
+        return self._keep(_with_name_variants(self._clean), "suppliers")
 
-    suppliers_marked: DataFrame
-    headers_marked: DataFrame
-    items_marked: DataFrame
-    hot_item_pos: Sequence[HotKey] | None = None
+    @cached_property
+    def headers_marked(self) -> DataFrame:
+        return self._keep(_dirty_headers(self._clean), "headers")
+
+    @cached_property
+    def items_marked(self) -> DataFrame:
+        return self._keep(_dirty_items(self._clean), "items")
+
+    @property
+    def hot_item_pos(self) -> Sequence[HotKey] | None:
+        return self._clean.hot_item_pos
 
     @property
     def suppliers(self) -> DataFrame:
@@ -65,6 +177,7 @@ class Bronze:
 
     @property
     def truth(self) -> DataFrame:
+        """The true category of every line."""
         return self.items_marked.select("po_id", "item_no", "true_category")
 
     @property
@@ -83,141 +196,6 @@ class Bronze:
             "corruption_log": self.answer_key,
         }
 
-    def stored(self) -> Bronze:
-        """The same tables, computed once and read from then on."""
-        return replace(
-            self,
-            suppliers_marked=cut(self.suppliers_marked, "suppliers"),
-            headers_marked=cut(self.headers_marked, "headers"),
-            items_marked=cut(self.items_marked, "items"),
-        )
-
-
-def _near_id(po_id: Column) -> Column:
-    return F.concat(F.lit("ND"), F.substring(po_id, 3, 1_000))
-
-
-def _dirty_headers(headers: DataFrame, orphan_supplier_id: str) -> DataFrame:
-    po_id, date = F.col("po_id"), F.col("order_date")
-    iso = date.cast("string")
-    detail = F.lit
-    issues = _issues(
-        (_in_slot("missing_currency"),
-         _issue("po_headers", po_id, "missing_currency", detail("currency set to NULL"))),
-        (_in_slot("invalid_currency"),
-         _issue("po_headers", po_id, "invalid_currency", F.concat(F.lit("currency = "), F.col("bad_currency")))),
-        (_in_slot("bad_date_format"),
-         _issue("po_headers", po_id, "bad_date_format", detail("order_date as DD.MM.YYYY"))),
-        (_in_slot("orphan_supplier"),
-         _issue("po_headers", po_id, "orphan_supplier", detail(f"supplier_id {orphan_supplier_id} does not exist"))),
-        (_in_slot("exact_duplicate_header"),
-         _issue("po_headers", po_id, "exact_duplicate_header", detail("header row duplicated"))),
-        (_in_slot("near_duplicate_po"),
-         _issue("po_headers", _near_id(po_id), "near_duplicate_po",
-                F.concat(F.lit("copy of "), po_id, F.lit(", order_date +1 day")))),
-        (_in_slot("missing_order_date"),
-         _issue("po_headers", po_id, "missing_order_date", detail("order_date set to NULL"))),
-    )
-
-    def row(new_id: Column, date_text: Column, marks: Column) -> Column:
-        return F.struct(
-            new_id.alias("po_id"),
-            F.when(_in_slot("orphan_supplier"), orphan_supplier_id).otherwise(F.col("supplier_id")).alias("supplier_id"),
-            date_text.alias("order_date"),
-            F.when(_in_slot("missing_currency"), None)
-            .when(_in_slot("invalid_currency"), F.col("bad_currency"))
-            .otherwise(F.col("currency")).alias("currency"),
-            F.col("total_amount").cast("string").alias("total_amount"),
-            marks.alias("issues"),
-        )
-
-    date_text = (
-        F.when(_in_slot("bad_date_format"), F.date_format(date, "dd.MM.yyyy"))
-        .when(_in_slot("missing_order_date"), None)
-        .otherwise(iso)
-    )
-    next_day = F.date_add(date, 1).cast("string")
-    unmarked = F.expr(_NO_ISSUES)
-    rows = F.array(
-        row(po_id, date_text, issues),
-        F.when(_in_slot("exact_duplicate_header"), row(po_id, date_text, unmarked)),
-        F.when(_in_slot("near_duplicate_po"), row(_near_id(po_id), next_day, unmarked)),
-    )
-    return headers.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
-
-
-def _dirty_items(items: DataFrame) -> DataFrame:
-    first = F.col("item_no") == 10
-    no_description = _in_slot("missing_item_field") & first & (F.col("blank_field") == "description")
-    no_quantity = _in_slot("missing_item_field") & first & (F.col("blank_field") == "quantity")
-    early = _in_slot("delivery_before_order") & first
-    lost_parent = _in_slot("orphan_po") & first
-
-    po_id = F.when(lost_parent, F.concat(F.lit("PX"), F.substring("po_id", 3, 1_000))).otherwise(F.col("po_id"))
-    record = line_key(po_id, F.col("item_no"))
-    quantity = F.col("quantity") * F.coalesce(F.col("quantity_factor"), F.lit(1))
-    price = F.col("unit_price") * F.coalesce(F.col("price_factor"), F.lit(1))
-    delivery = F.when(early, F.date_sub("order_date", F.col("early_days"))).otherwise(F.col("delivery_date"))
-    issues = _issues(
-        (F.col("price_factor").isNotNull(),
-         _issue("po_items", record, "price_outlier",
-                F.concat(F.lit("unit_price x"), F.col("price_factor").cast("string")), ml=True)),
-        (F.col("quantity_factor").isNotNull() & ~no_quantity,
-         _issue("po_items", record, "quantity_outlier",
-                F.concat(F.lit("quantity x"), F.col("quantity_factor").cast("string")), ml=True)),
-        (early, _issue("po_items", record, "delivery_before_order", F.lit("delivery_date earlier than order_date"))),
-        (no_description | no_quantity,
-         _issue("po_items", record, "missing_item_field",
-                F.concat(F.col("blank_field"), F.lit(" set to NULL")))),
-        (lost_parent, _issue("po_items", record, "orphan_po", F.lit("po_id has no header"))),
-    )
-
-    def row(new_id: Column, marks: Column) -> Column:
-        return F.struct(
-            new_id.alias("po_id"),
-            F.col("item_no").cast("string").alias("item_no"),
-            F.when(~no_description, F.col("description")).alias("description"),
-            F.when(~no_quantity, quantity.cast("string")).alias("quantity"),
-            price.cast("decimal(18,2)").cast("string").alias("unit_price"),
-            delivery.cast("string").alias("delivery_date"),
-            F.col("true_category"),
-            marks.alias("issues"),
-        )
-
-    rows = F.array(
-        row(po_id, issues),
-        F.when(_in_slot("near_duplicate_po"), row(_near_id(F.col("po_id")), F.expr(_NO_ISSUES))),
-    )
-    return items.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
-
-
-def _with_name_variants(suppliers: DataFrame) -> DataFrame:
-    variant_id = F.concat(F.lit("V"), F.substring("supplier_id", 2, 1_000))
-    variant_name = F.concat(F.upper(F.replace("name", F.lit(","), F.lit(""))), F.lit(" Gmbh."))
-    detail = F.concat(F.lit("variant of "), F.col("supplier_id"), F.lit(" ("), F.col("name"), F.lit(")"))
-    issue = _issue("suppliers", variant_id, "inconsistent_supplier_name", detail)
-
-    def row(supplier_id: Column, name: Column, marks: Column) -> Column:
-        return F.struct(
-            supplier_id.alias("supplier_id"), name.alias("name"), "country", "payment_terms",
-            F.col("created_date").cast("string").alias("created_date"), marks.alias("issues"),
-        )
-
-    rows = F.array(
-        row(F.col("supplier_id"), F.col("name"), F.expr(_NO_ISSUES)),
-        F.when(F.col("make_variant"), row(variant_id, variant_name, _issues((F.lit(True), issue)))),
-    )
-    return suppliers.select(F.explode(F.array_compact(rows)).alias("r")).select("r.*")
-
-
-def inject(clean: Clean) -> Bronze:
-    return Bronze(
-        suppliers_marked=_with_name_variants(clean.suppliers),
-        headers_marked=_dirty_headers(clean.headers, clean.orphan_supplier_id),
-        items_marked=_dirty_items(clean.items),
-        hot_item_pos=clean.hot_item_pos,
-    )
-
 
 def issue_summary(bronze: Bronze) -> DataFrame:
     """Table row counts and logged rows per issue type, most frequent first."""

@@ -6,15 +6,15 @@ cluster, and lines are exploded from their order without a join.
 
 from __future__ import annotations
 
-from dataclasses import replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersieve.datagen.clean import SLOTS, Clean
+from ledgersieve.datagen.clean import SLOT, SLOTS, Clean
 from ledgersieve.datagen.inject import order_totals
 from ledgersieve.functions.convert import padded
-from ledgersieve.functions.draws import draw_below, draw_choice, draw_normal, draw_unit
+from ledgersieve.functions.draws import child_hash, draw_below, draw_choice, draw_normal, draw_unit, key_hash
 from ledgersieve.schemas import COUNTRIES, CURRENCIES, PAYMENT_TERMS
 
 # Spend categories and their typical unit prices.
@@ -41,7 +41,6 @@ SUFFIXES = (" - rush", " (urgent)", " ref ", " / bulk order")
 BAD_CURRENCIES = ("EURO", "EU", "US$", "XXX")
 OUTLIER_FACTORS = (20, 50, 100)
 FIRST_DAY, DAYS = "2024-01-01", 730
-ORPHAN_SUPPLIER = "S999999"
 
 
 def _by_category(table: dict, category: Column) -> Column:
@@ -53,99 +52,110 @@ def _by_category(table: dict, category: Column) -> Column:
     return chosen
 
 
-def preferred(seed: int, supplier_no: Column) -> tuple[Column, Column]:
-    """The category and currency a supplier usually deals in."""
-    return (
-        draw_choice(seed, "category", list(BASE_PRICES), supplier_no),
-        draw_choice(seed, "currency", CURRENCIES, supplier_no),
-    )
+def preferred_category(supplier: Column) -> Column:
+    return draw_choice(supplier, "category", list(BASE_PRICES))
+
+
+def preferred_currency(supplier: Column) -> Column:
+    return draw_choice(supplier, "currency", CURRENCIES)
 
 
 def synth_suppliers(spark: SparkSession, count: int, seed: int) -> DataFrame:
-    key = F.col("id")
-    first, second, form = (draw_choice(seed, f"name{i}", v, key) for i, v in enumerate(NAME_PARTS))
-    days_ago = (draw_below(seed, "since", 7 * 365, key) + 365).cast("int")
-    return spark.range(1, count + 1).select(
-        F.concat(F.lit("S"), padded(key, 6)).alias("supplier_id"),
+    row = F.col("_row")
+    first, second, form = (draw_choice(row, f"name{i}", v) for i, v in enumerate(NAME_PARTS))
+    days_ago = (draw_below(row, "since", 7 * 365) + 365).cast("int")
+    numbered = spark.range(1, count + 1).withColumn("_row", key_hash(seed, F.col("id")))
+    return numbered.select(
+        F.concat(F.lit("S"), padded(F.col("id"), 6)).alias("supplier_id"),
         F.concat(first, second, F.lit(", "), form).alias("name"),
-        draw_choice(seed, "country", COUNTRIES, key).alias("country"),
-        draw_choice(seed, "terms", PAYMENT_TERMS, key).alias("payment_terms"),
+        draw_choice(row, "country", COUNTRIES).alias("country"),
+        draw_choice(row, "terms", PAYMENT_TERMS).alias("payment_terms"),
         F.date_sub(F.lit(FIRST_DAY).cast("date"), days_ago).alias("created_date"),
-        (key <= 3).alias("make_variant"),
+        (F.col("id") <= 3).alias("make_variant"),
     )
 
 
+def draw_slot(order: Column) -> Column:
+    """One of the issue slots, or SLOTS for an order that stays clean."""
+    drawn = draw_below(order, "slot", SLOTS)
+    return F.when(drawn <= SLOT["near_duplicate_po"], drawn).otherwise(SLOTS)
+
+
 def synth_headers(orders: DataFrame, suppliers: int, seed: int) -> DataFrame:
-    """One order per row of `orders` (column po_no), with the keys its lines are drawn from."""
-    key = F.col("po_no")
-    drawn = orders.select(
-        key,
-        F.concat(F.lit("PO"), padded(key, 6)).alias("po_id"),
-        (draw_below(seed, "supplier", suppliers, key) + 1).alias("supplier_no"),
-        F.date_add(F.lit(FIRST_DAY).cast("date"), draw_below(seed, "day", DAYS, key).cast("int")).alias("order_date"),
-        draw_below(seed, "slot", SLOTS, key).alias("slot"),
-        draw_choice(seed, "bad_currency", BAD_CURRENCIES, key).alias("bad_currency"),
+    """One order per row of `orders` (column po_no), with the hashes its lines are drawn from."""
+    row = F.col("order_hash")
+    drawn = orders.withColumn("order_hash", key_hash(seed, F.col("po_no"))).select(
+        "order_hash",
+        F.concat(F.lit("PO"), padded(F.col("po_no"), 6)).alias("po_id"),
+        (draw_below(row, "supplier", suppliers) + 1).alias("supplier_no"),
+        F.date_add(F.lit(FIRST_DAY).cast("date"), draw_below(row, "day", DAYS).cast("int")).alias("order_date"),
+        draw_slot(row).alias("slot"),
+        draw_choice(row, "bad_currency", BAD_CURRENCIES).alias("bad_currency"),
     )
+    drawn = drawn.withColumn("supplier_hash", key_hash(seed, F.col("supplier_no")))
     return drawn.withColumns({
         "supplier_id": F.concat(F.lit("S"), padded(F.col("supplier_no"), 6)),
-        "currency": preferred(seed, F.col("supplier_no"))[1],
+        "currency": preferred_currency(F.col("supplier_hash")),
     })
 
 
-def _noisy(text: Column, seed: int, *keys: Column) -> Column:
+def _noisy(text: Column, row: Column) -> Column:
     """Mixed case and the remarks people add to descriptions."""
-    shout = draw_unit(seed, "case", *keys)
+    shout = draw_unit(row, "case")
     text = F.when(shout < 0.15, F.upper(text)).when(shout < 0.30, F.lower(text)).otherwise(text)
-    suffix = draw_choice(seed, "suffix", SUFFIXES, *keys)
-    number = (draw_below(seed, "ref", 9000, *keys) + 1000).cast("string")
+    suffix = draw_choice(row, "suffix", SUFFIXES)
+    number = (draw_below(row, "ref", 9000) + 1000).cast("string")
     suffix = F.when(suffix == " ref ", F.concat(suffix, number)).otherwise(suffix)
-    return F.when(draw_unit(seed, "remark", *keys) < 0.2, F.concat(text, suffix)).otherwise(text)
+    return F.when(draw_unit(row, "remark") < 0.2, F.concat(text, suffix)).otherwise(text)
 
 
 def synth_items(headers: DataFrame, seed: int) -> DataFrame:
     """One to five lines per order, numbered 10, 20, …"""
-    keys = (F.col("po_no"), F.col("line"))
-    usual = draw_unit(seed, "usual", *keys) <= 0.8
-    other = draw_choice(seed, "other", list(BASE_PRICES), *keys)
-    lines = headers.withColumn(
-        "line", F.explode(F.sequence(F.lit(1).cast("bigint"), draw_below(seed, "lines", 5, F.col("po_no")) + 1))
-    ).withColumn("true_category", F.when(usual, preferred(seed, F.col("supplier_no"))[0]).otherwise(other))
-    goods = _by_category(GOODS, F.col("true_category"))
-    goods = F.element_at(goods, (draw_below(seed, "goods", 4, *keys) + 1).cast("int"))
-    price = _by_category(BASE_PRICES, F.col("true_category")) * F.exp(F.lit(0.25) * draw_normal(seed, "price", *keys))
-    odd = draw_below(seed, "outlier", 1000, *keys)
-    factor = draw_choice(seed, "factor", OUTLIER_FACTORS, *keys)
+    row, order = F.col("line_hash"), F.col("order_hash")
+    line_count = draw_below(order, "lines", 5) + 1
+    lines = headers.withColumn("line", F.explode(F.sequence(F.lit(1).cast("bigint"), line_count)))
+    lines = lines.withColumn("line_hash", child_hash(order, F.col("line")))
+    lines = lines.withColumns({
+        "true_category": F.when(draw_unit(row, "usual") <= 0.8, preferred_category(F.col("supplier_hash")))
+        .otherwise(draw_choice(row, "other", list(BASE_PRICES))),
+        "odd": draw_below(row, "outlier", 1000),
+        "factor": draw_choice(row, "factor", OUTLIER_FACTORS),
+    })
+    goods = F.element_at(_by_category(GOODS, F.col("true_category")), (draw_below(row, "goods", 4) + 1).cast("int"))
+    price = _by_category(BASE_PRICES, F.col("true_category")) * F.exp(F.lit(0.25) * draw_normal(row, "price"))
     return lines.select(
-        "po_id", "po_no", "line",
+        "po_id",
         (F.col("line") * 10).alias("item_no"),
-        _noisy(goods, seed, *keys).alias("description"),
-        (draw_below(seed, "quantity", 25, *keys) + 1).alias("quantity"),
+        _noisy(goods, row).alias("description"),
+        (draw_below(row, "quantity", 25) + 1).alias("quantity"),
         price.cast("decimal(18,2)").alias("unit_price"),
-        F.date_add("order_date", (draw_below(seed, "delivery", 41, *keys) + 5).cast("int")).alias("delivery_date"),
+        F.date_add("order_date", (draw_below(row, "delivery", 41) + 5).cast("int")).alias("delivery_date"),
         "order_date", "true_category", "slot",
-        draw_choice(seed, "blank", ("description", "quantity"), F.col("po_no")).alias("blank_field"),
-        (draw_below(seed, "early", 30, F.col("po_no")) + 1).cast("int").alias("early_days"),
+        draw_choice(order, "blank", ("description", "quantity")).alias("blank_field"),
+        (draw_below(order, "early", 30) + 1).cast("int").alias("early_days"),
         # 1.5% price outliers, and 1% quantity outliers among the other lines.
-        F.when(odd < 15, factor).alias("price_factor"),
-        F.when((odd >= 15) & (odd < 25), factor).alias("quantity_factor"),
+        F.expr("if(odd < 15, factor, NULL)").alias("price_factor"),
+        F.expr("if(odd >= 15 AND odd < 25, factor, NULL)").alias("quantity_factor"),
     )
 
 
-def synthesize(spark: SparkSession, orders: DataFrame, suppliers: int, seed: int) -> Clean:
+class SyntheticOrders(Clean):
     """`orders` supplies the order numbers (column po_no); `suppliers` is a count."""
-    headers = synth_headers(orders, suppliers, seed)
-    items = synth_items(headers, seed)
-    # Outliers count towards the totals, so no rule can see them.
-    valued = items.select(
-        "po_id",
-        (F.col("quantity") * F.coalesce("quantity_factor", F.lit(1))).alias("quantity"),
-        (F.col("unit_price") * F.coalesce("price_factor", F.lit(1))).cast("decimal(18,2)").alias("unit_price"),
-    )
-    headers = headers.join(order_totals(valued), "po_id", "left")
-    return Clean(synth_suppliers(spark, suppliers, seed), headers, items, ORPHAN_SUPPLIER, hot_item_pos=[])
-
 
-def without_extra_issues(clean: Clean) -> Clean:
-    """Drop the two issue types that exist only for testing rules: their slots become clean."""
-    quiet = F.when(F.col("slot") < 8, F.col("slot")).otherwise(SLOTS)
-    return replace(clean, headers=clean.headers.withColumn("slot", quiet), items=clean.items.withColumn("slot", quiet))
+    orphan_supplier_id = "S999999"
+    hot_item_pos: list = []  # at most five lines per order
+
+    def __init__(self, spark: SparkSession, orders: DataFrame, suppliers: int, seed: int):
+        self._drawn = synth_headers(orders, suppliers, seed)
+        self.suppliers = synth_suppliers(spark, suppliers, seed)
+        self.items = synth_items(self._drawn, seed)
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        """Totals include the outliers, so no rule can see them."""
+        valued = self.items.selectExpr(
+            "po_id",
+            "quantity * coalesce(quantity_factor, 1) AS quantity",
+            "cast(unit_price * coalesce(price_factor, 1) AS decimal(18,2)) AS unit_price",
+        )
+        return self._drawn.join(order_totals(valued), "po_id", "left")

@@ -23,23 +23,28 @@ def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     Values are counted per (column, value) first. That step combines on the map side, so a
     dominant value costs one row per task, and it replaces one distinct count per column.
     """
-    parts = []
+    parts, names = [], []
     for table_name, df in tables.items():
-        text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-        parts.append(
-            _long(text, df.columns, "column_name", "value").withColumn("table_name", F.lit(table_name))
-        )
+        # A short code stands for table and column while the values are shuffled.
+        codes = {c: str(len(names) + i) for i, c in enumerate(df.columns)}
+        names += [(code, table_name, c) for c, code in codes.items()]
+        text = df.select(*[F.col(c).cast("string").alias(code) for c, code in codes.items()])
+        parts.append(_long(text, text.columns, "code", "value"))
     values = reduce(DataFrame.unionByName, parts)
-    frequencies = values.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("n"))
-    profile = frequencies.groupBy("table_name", "column_name").agg(
+    frequencies = values.groupBy("code", "value").agg(F.count("*").alias("n"))
+    profile = frequencies.groupBy("code").agg(
         F.sum("n").alias("total_rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
         F.count("value").alias("distinct_count"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
     )
+
+    def named(position: int):
+        return F.element_at(F.create_map(*[F.lit(v) for n in names for v in (n[0], n[position])]), F.col("code"))
+
     return profile.select(
-        "table_name", "column_name", "total_rows", "null_count",
+        named(1).alias("table_name"), named(2).alias("column_name"), "total_rows", "null_count",
         percent(F.col("null_count"), F.col("total_rows"), 2).alias("null_pct"),
         "distinct_count", "min_value", "max_value",
     )

@@ -39,8 +39,14 @@ def hot_key_rows(spark: SparkSession) -> int:
 
 
 def find_hot_keys(df: DataFrame, *columns: str) -> dict[str, list[HotKey]]:
-    """Heavy values (NULL included) of each column, from one scan and a one-row result."""
+    """Heavy values (NULL included) of each column, from one scan and a one-row result.
+
+    A table with fewer rows than one hot key is only counted, which for a stored table
+    reads file footers.
+    """
     rows = hot_key_rows(df.sparkSession)
+    if df.count() < rows:
+        return {c: [] for c in columns}
     sketches = [F.expr(f"approx_top_k(`{c}`, {_MAX_KEYS}, {_TRACKED})").alias(c) for c in columns]
     found = df.select(*columns).agg(F.count("*").alias("_total"), *sketches).first()
     floor = max(rows, MIN_SHARE * found["_total"], 2)

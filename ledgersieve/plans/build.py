@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgersieve.datagen.inject import Bronze
 from ledgersieve.operators.checks import run_checks
 from ledgersieve.plans import checks, evaluation, monitoring
-from ledgersieve.plans.quarantine import judge_headers, judge_items, quarantine_headers, quarantine_items
+from ledgersieve.plans.quarantine import (
+    JudgedHeaders, judge_headers, judge_items, quarantine_headers, quarantine_items,
+)
 from ledgersieve.plans.silver import hot_record_ids, silver_headers, silver_items, silver_suppliers
 from ledgersieve.plans.staging import stage_headers, stage_items, stage_suppliers
 from ledgersieve.sources.tables import Warehouse
@@ -24,41 +28,61 @@ def staging_tables(bronze: Bronze) -> dict[str, DataFrame]:
     }
 
 
-@dataclass(frozen=True)
+QUARANTINE = ("quarantine.po_headers", "quarantine.po_items")
+SILVER = ("silver.suppliers", "silver.po_headers", "silver.po_items")
+
+
 class Layers:
-    """Staging is computed on read; quarantine and silver are stored."""
+    """Staging, quarantine and silver over one bronze, each built when first asked for.
+
+    Staging is computed on read. Tables named in `kept` are stored once and read from then
+    on; the others stay queries, for callers that read them a single time.
+    """
+
+    def __init__(self, bronze: Bronze, store: Warehouse, kept: Collection[str] = QUARANTINE + SILVER):
+        self.bronze, self._store, self._kept = bronze, store, kept
+
+    def _keep(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        return self._store.replace(layer, name, df) if f"{layer}.{name}" in self._kept else df
+
+    @cached_property
+    def staging(self) -> dict[str, DataFrame]:
+        return staging_tables(self.bronze)
 
-    staging: dict[str, DataFrame]
-    quarantined_headers: DataFrame
-    quarantined_items: DataFrame
-    silver: dict[str, DataFrame]
+    @cached_property
+    def judged_headers(self) -> JudgedHeaders:
+        """Both quarantine tables and silver headers are read off this one."""
+        return judge_headers(self.staging["po_headers"], self.staging["suppliers"]).stored()
+
+    @cached_property
+    def quarantined_headers(self) -> DataFrame:
+        return self._keep("quarantine", "po_headers", quarantine_headers(self.judged_headers))
+
+    @cached_property
+    def quarantined_items(self) -> DataFrame:
+        judged = judge_items(self.staging["po_items"], self.judged_headers, self.bronze.hot_item_pos)
+        return self._keep("quarantine", "po_items", quarantine_items(judged))
 
     @property
     def quarantined(self) -> DataFrame:
         return self.quarantined_headers.unionByName(self.quarantined_items)
 
+    @cached_property
+    def silver(self) -> dict[str, DataFrame]:
+        items = self.staging["po_items"]
+        hot_records = hot_record_ids(items, self.bronze.hot_item_pos)
+        tables = {
+            "suppliers": silver_suppliers(self.staging["suppliers"]),
+            "po_headers": silver_headers(self.judged_headers),
+            "po_items": silver_items(items, self.quarantined_items, hot_records),
+        }
+        return {name: self._keep("silver", name, df) for name, df in tables.items()}
+
     def checked_tables(self) -> dict[str, DataFrame]:
         tables = {f"stg_{name}": df for name, df in self.staging.items()}
         return tables | {f"silver_{name}": df for name, df in self.silver.items()}
 
 
-def build_layers(bronze: Bronze, store: Warehouse) -> Layers:
-    """Each stored table is computed once, from bronze or from tables stored before it."""
-    staging = staging_tables(bronze)
-    judged = judge_headers(staging["po_headers"], staging["suppliers"]).stored()
-    bad_headers = store.replace("quarantine", "po_headers", quarantine_headers(judged))
-    judged_items = judge_items(staging["po_items"], judged, bronze.hot_item_pos)
-    bad_items = store.replace("quarantine", "po_items", quarantine_items(judged_items))
-    hot_records = hot_record_ids(staging["po_items"], bronze.hot_item_pos)
-    kept_items = silver_items(staging["po_items"], bad_items, hot_records)
-    silver = {
-        "suppliers": store.replace("silver", "suppliers", silver_suppliers(staging["suppliers"])),
-        "po_headers": store.replace("silver", "po_headers", silver_headers(judged)),
-        "po_items": store.replace("silver", "po_items", kept_items),
-    }
-    return Layers(staging, bad_headers, bad_items, silver)
-
-
 @dataclass(frozen=True)
 class Run:
     layers: Layers
@@ -72,7 +96,7 @@ class Run:
 def run(spark: SparkSession, bronze: Bronze, root: str, run_at: datetime, full_refresh: bool = False) -> Run:
     """Build every layer. A failed silver check stops before evaluation and monitoring."""
     store = Warehouse(spark, root)
-    layers = build_layers(bronze, store)
+    layers = Layers(bronze, store)
     tables, failures = layers.checked_tables(), f"{root}/test_failures"
     hot = bronze.hot_item_pos
     staging_report = run_checks(checks.staging_checks(hot), tables, failures)

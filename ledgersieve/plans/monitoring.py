@@ -92,17 +92,18 @@ def row_accounting(
     )
     lines = items.select(record.alias("record_id"))
     parts = [
-        ("po_headers", "staged", headers.agg(F.count("*").alias("n"))),
-        ("po_headers", "silver", silver_headers.agg(F.count("*").alias("n"))),
-        ("po_headers", "quarantined", per_po.agg(F.sum("n").alias("n"))),
-        ("po_items", "staged", lines.agg((distinct_records + F.count_if(no_key)).alias("n"))),
-        ("po_items", "repeated", lines.agg((F.count("record_id") - distinct_records).alias("n"))),
-        ("po_items", "silver", silver_items.select(record.alias("record_id")).agg(distinct_records.alias("n"))),
-        ("po_items", "quarantined", quarantined_items.agg(
-            (distinct_records + F.count_if(no_key & (F.col("rule_name") == "missing_key"))).alias("n"))),
+        ("po_headers", headers.agg(F.count("*").alias("staged"))),
+        ("po_headers", silver_headers.agg(F.count("*").alias("silver"))),
+        ("po_headers", per_po.agg(F.sum("n").alias("quarantined"))),
+        ("po_items", lines.agg(
+            (distinct_records + F.count_if(no_key)).alias("staged"),
+            (F.count("record_id") - distinct_records).alias("repeated"))),
+        ("po_items", silver_items.select(record.alias("record_id")).agg(distinct_records.alias("silver"))),
+        ("po_items", quarantined_items.agg(
+            (distinct_records + F.count_if(no_key & (F.col("rule_name") == "missing_key"))).alias("quarantined"))),
     ]
     counts = reduce(DataFrame.unionByName, [
-        df.select(F.lit(t).alias("table_name"), F.lit(kind).alias("kind"), "n") for t, kind, df in parts
+        df.unpivot([], df.columns, "kind", "n").select(F.lit(t).alias("table_name"), "kind", "n") for t, df in parts
     ])
 
     def pick(kind: str):
