@@ -43,9 +43,12 @@ class TableOrders(Clean):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def _table(self, name: str) -> DataFrame:
-        return table(self._spark, self._sf_dir, name)
+        if name not in self._read:
+            self._read[name] = table(self._spark, self._sf_dir, name)
+        return self._read[name]
 
     @cached_property
     def suppliers(self) -> DataFrame:

@@ -27,9 +27,14 @@ def _issue(table: str, record_id: str, issue_type: str, detail: str, ml: bool =
     )
 
 
-def _present(*cases: tuple[str, str]) -> str:
-    """The values whose condition holds, as an array."""
-    return "array_compact(array(" + ", ".join(f"CASE WHEN {hit} THEN {value} END" for hit, value in cases) + "))"
+def _issues(*cases: tuple[str, str]) -> str:
+    """The issues whose condition holds, as an array.
+
+    Rare, so rows without any skip the work; and without lambdas, which run interpreted.
+    """
+    some = ", ".join(f"if({hit}, array({issue}), {_NO_ISSUES})" for hit, issue in cases)
+    any_hit = " OR ".join(f"({hit})" for hit, _ in cases)
+    return f"if({any_hit}, concat({some}), {_NO_ISSUES})"
 
 
 def _row(**columns: str) -> str:
@@ -55,7 +60,7 @@ def _dirty_headers(clean: Clean) -> DataFrame:
         "near_duplicate_po": "concat('copy of ', po_id, ', order_date +1 day')",
         "missing_order_date": "'order_date set to NULL'",
     }
-    issues = _present(*[
+    issues = _issues(*[
         (slot[name], _issue("po_headers", _near_id() if name == "near_duplicate_po" else "po_id", name, detail))
         for name, detail in details.items()
     ])
@@ -73,11 +78,11 @@ def _dirty_headers(clean: Clean) -> DataFrame:
             issues=marks,
         )
 
-    rows = _present(
-        ("true", row("po_id", date_text, issues)),
-        (slot["exact_duplicate_header"], row("po_id", date_text, _NO_ISSUES)),
-        (slot["near_duplicate_po"], row(_near_id(), "string(date_add(order_date, 1))", _NO_ISSUES)),
-    )
+    original = row("po_id", date_text, issues)
+    copy = row("po_id", date_text, _NO_ISSUES)
+    near_copy = row(_near_id(), "string(date_add(order_date, 1))", _NO_ISSUES)
+    rows = f"""CASE WHEN {slot['exact_duplicate_header']} THEN array({original}, {copy})
+        WHEN {slot['near_duplicate_po']} THEN array({original}, {near_copy}) ELSE array({original}) END"""
     return _explode_rows(clean.headers, rows)
 
 
@@ -88,7 +93,7 @@ def _dirty_items(clean: Clean) -> DataFrame:
     no_quantity = f"({first['missing_item_field']} AND blank_field = 'quantity')"
     po_id = f"if({lost_parent}, concat('PX', substring(po_id, 3)), po_id)"
     record = f"concat({po_id}, '|', string(item_no))"
-    issues = _present(
+    issues = _issues(
         ("price_factor IS NOT NULL",
          _issue("po_items", record, "price_outlier", "concat('unit_price x', price_factor)", ml=True)),
         (f"quantity_factor IS NOT NULL AND NOT {no_quantity}",
@@ -111,9 +116,9 @@ def _dirty_items(clean: Clean) -> DataFrame:
             issues=marks,
         )
 
+    original, near_copy = row(po_id, issues), row(_near_id(), _NO_ISSUES)
     near_duplicate = f"slot = {SLOT['near_duplicate_po']}"
-    rows = _present(("true", row(po_id, issues)), (near_duplicate, row(_near_id(), _NO_ISSUES)))
-    return _explode_rows(clean.items, rows)
+    return _explode_rows(clean.items, f"if({near_duplicate}, array({original}, {near_copy}), array({original}))")
 
 
 def _with_name_variants(clean: Clean) -> DataFrame:
@@ -124,11 +129,9 @@ def _with_name_variants(clean: Clean) -> DataFrame:
     variant = "concat('V', substring(supplier_id, 2))"
     issue = _issue("suppliers", variant, "inconsistent_supplier_name",
                    "concat('variant of ', supplier_id, ' (', name, ')')")
-    rows = _present(
-        ("true", row("supplier_id", "name", _NO_ISSUES)),
-        ("make_variant", row(variant, "concat(upper(replace(name, ',', '')), ' Gmbh.')", f"array({issue})")),
-    )
-    return _explode_rows(clean.suppliers, rows)
+    original = row("supplier_id", "name", _NO_ISSUES)
+    renamed = row(variant, "concat(upper(replace(name, ',', '')), ' Gmbh.')", f"array({issue})")
+    return _explode_rows(clean.suppliers, f"if(make_variant, array({original}, {renamed}), array({original}))")
 
 
 class Bronze:

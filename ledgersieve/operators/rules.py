@@ -2,35 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_NONE = "cast(array() AS array<struct<rule_name:string,reason:string>>)"
+
 
 @dataclass(frozen=True)
 class Rule:
-    """A row breaks the rule when `broken` is true; unknown (NULL) does not count."""
+    """SQL text over the row: a row breaks the rule when `broken` is true, not when unknown."""
 
     name: str
-    broken: Column
-    reason: Column
+    broken: str
+    reason: str
 
-    def finding(self) -> Column:
-        return F.when(self.broken, finding(self.name, self.reason))
 
+def no_findings() -> Column:
+    return F.expr(_NONE)
 
-def finding(name: str, reason: Column) -> Column:
-    return F.struct(F.lit(name).alias("rule_name"), reason.alias("reason"))
 
+def any_broken(rules: Sequence[Rule]) -> Column:
+    return F.expr(_any_broken(rules))
 
-def findings(rules: Iterable[Rule]) -> Column:
-    return F.array_compact(F.array(*[r.finding() for r in rules]))
 
+def findings(rules: Sequence[Rule]) -> Column:
+    """The broken rules of a row, as (rule_name, reason).
 
-def quarantine_rows(judged: DataFrame, table_name: str, record_id: str, found: str) -> DataFrame:
-    """One row per broken rule."""
-    return judged.select(F.col(record_id).alias("record_id"), F.explode(found).alias("f")).select(
-        F.lit(table_name).alias("table_name"), "record_id", "f.rule_name", "f.reason"
+    Built from conditionals, which compile, unlike array lambdas; clean rows skip the list.
+    """
+    listed = ", ".join(
+        f"if({r.broken}, array(named_struct('rule_name', '{r.name}', 'reason', {r.reason})), {_NONE})" for r in rules
     )
+    return F.expr(f"if({_any_broken(rules)}, concat({listed}), {_NONE})")
+
+
+def _any_broken(rules: Sequence[Rule]) -> str:
+    return "coalesce(" + " OR ".join(f"({r.broken})" for r in rules) + ", false)"

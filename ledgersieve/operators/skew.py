@@ -109,21 +109,15 @@ _CHUNK = 4096
 def unroll(df: DataFrame, start: Column, times: Column, out: str, spread: bool) -> DataFrame:
     """Repeat each row `times` times, with `out` counting start + 1, start + 2, …
 
-    Rows with 0 or NULL `times` vanish. `spread` is for counts that may be huge: the row
-    is split into chunks, the chunks are dealt to all tasks, and each task unrolls its own.
+    Rows with 0 or NULL `times` vanish. A row is split into chunks first, so no long list
+    is ever built. `spread` is for counts that are too many for one task: the chunks are
+    then dealt to all tasks, and each task unrolls its own.
     """
-    zero = F.lit(0).cast("bigint")
     df = df.withColumns({"_start": start.cast("bigint"), "_times": times.cast("bigint")})
-    df = df.where(F.col("_times") > 0)
+    chunks = df.where("_times > 0").withColumn(
+        "_chunk", F.explode(F.expr(f"sequence(0L, (_times - 1) div {_CHUNK})"))
+    )
     if spread:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        last_chunk = F.floor((F.col("_times") - 1) / _CHUNK)
-        done = F.col("_chunk") * _CHUNK
-        df = (
-            df.withColumn("_chunk", F.explode(F.sequence(zero, last_chunk)))
-            .withColumn("_start", F.col("_start") + done)
-            .withColumn("_times", F.least(F.lit(_CHUNK).cast("bigint"), F.col("_times") - done))
-            .repartition(parts)
-        )
-    numbers = F.sequence(F.col("_start") + 1, F.col("_start") + F.col("_times"))
-    return df.withColumn(out, F.explode(numbers)).drop("_start", "_times", "_chunk")
+        chunks = chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    numbers = f"sequence(_start + _chunk * {_CHUNK} + 1, _start + least(_times, (_chunk + 1) * {_CHUNK}))"
+    return chunks.withColumn(out, F.explode(F.expr(numbers))).drop("_start", "_times", "_chunk")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgersieve.functions.convert import line_key
-from ledgersieve.operators.rules import Rule, finding, findings, quarantine_rows
+from ledgersieve.operators.rules import Rule, any_broken, findings, no_findings
 from ledgersieve.operators.skew import HotKey, find_hot_keys, skew_safe_join, unroll
 from ledgersieve.schemas import CURRENCIES
 from ledgersieve.sources.cut import cut
@@ -56,20 +56,26 @@ def first_copies(headers: DataFrame) -> DataFrame:
     )
 
 
-def header_rules() -> list[Rule]:
-    currency, raw = F.col("currency"), F.col("order_date_raw")
-    return [
-        Rule("missing_currency", currency.isNull(), F.lit("currency is NULL")),
-        Rule("invalid_currency", ~currency.isin(*CURRENCIES),
-             F.concat(F.lit("currency is not EUR or USD: "), currency)),
-        Rule("bad_date_format", F.col("order_date").isNull() & raw.isNotNull(),
-             F.concat(F.lit("order_date is not a valid YYYY-MM-DD date: "), raw)),
-        Rule("missing_order_date", raw.isNull(), F.lit("order_date is NULL")),
-        Rule("orphan_supplier", F.col("supplier_id").isNotNull() & F.col("known_supplier").isNull(),
-             F.concat(F.lit("supplier_id not found in suppliers: "), F.col("supplier_id"))),
-        # Without a key a row can be neither trusted nor looked up, so it is logged as such.
-        Rule("missing_key", F.col("po_id").isNull(), F.lit("po_id is NULL")),
-    ]
+_ACCEPTED = ", ".join(f"'{c}'" for c in CURRENCIES)
+HEADER_RULES = (
+    Rule("missing_currency", "currency IS NULL", "'currency is NULL'"),
+    Rule("invalid_currency", f"currency NOT IN ({_ACCEPTED})", "'currency is not EUR or USD: ' || currency"),
+    Rule("bad_date_format", "order_date IS NULL AND order_date_raw IS NOT NULL",
+         "'order_date is not a valid YYYY-MM-DD date: ' || order_date_raw"),
+    Rule("missing_order_date", "order_date_raw IS NULL", "'order_date is NULL'"),
+    Rule("orphan_supplier", "supplier_id IS NOT NULL AND known_supplier IS NULL",
+         "'supplier_id not found in suppliers: ' || supplier_id"),
+    # Without a key a row can be neither trusted nor looked up, so it is logged as such.
+    Rule("missing_key", "po_id IS NULL", "'po_id is NULL'"),
+)
+ITEM_RULES = (
+    Rule("missing_description", "description IS NULL", "'description is NULL'"),
+    # A quantity that does not parse is NULL too.
+    Rule("missing_quantity", "quantity IS NULL", "'quantity is NULL'"),
+    Rule("orphan_po", "has_parent IS NULL", "'po_id not found in PO headers'"),
+    Rule("parent_po_quarantined", "parent_broken", "'the parent PO failed validation'"),
+    Rule("missing_key", "record_id IS NULL", "'po_id or item_no is NULL'"),
+)
 
 
 def judge_headers(
@@ -82,7 +88,7 @@ def judge_headers(
         hot = find_hot_keys(headers, "po_id", "supplier_id")
     known = suppliers.select("supplier_id").distinct().withColumn("known_supplier", F.lit(True))
     pos = skew_safe_join(first_copies(headers), known, "supplier_id", "left", hot["supplier_id"])
-    pos = pos.withColumn("found", findings(header_rules()))
+    pos = pos.withColumn("found", findings(HEADER_RULES))
     return JudgedHeaders(
         pos.select(*_HEADER_COLUMNS, "copies", "order_dates", "found"), many_copies=bool(hot["po_id"])
     )
@@ -90,56 +96,39 @@ def judge_headers(
 
 def quarantine_headers(judged: JudgedHeaders) -> DataFrame:
     """The rules copy 1 broke, plus one row for every extra copy."""
-    duplicate = F.struct(
-        F.lit("duplicate_po_id").alias("rule_name"),
-        F.lit("Extra copy of a PO that already exists").alias("reason"),
-        (F.col("copies") - 1).alias("times"),
+    duplicate = F.expr("""named_struct('rule_name', 'duplicate_po_id',
+        'reason', 'Extra copy of a PO that already exists')""")
+    rows = judged.pos.where((F.col("copies") > 1) | (F.size("found") > 0))
+    rows = rows.select(
+        F.lit("po_headers").alias("table_name"), F.col("po_id").alias("record_id"), "copies",
+        F.inline(F.concat(F.array(duplicate), F.col("found"))),
     )
-    broken = F.transform(
-        "found",
-        lambda f: F.struct(f["rule_name"].alias("rule_name"), f["reason"].alias("reason"),
-                           F.lit(1).cast("bigint").alias("times")),
-    )
-    rows = judged.pos.where((F.col("copies") > 1) | (F.size("found") > 0)).select(
-        F.col("po_id").alias("record_id"), F.explode(F.concat(F.array(duplicate), broken)).alias("f")
-    ).select("record_id", "f.*")
-    rows = unroll(rows, F.lit(0), F.col("times"), "copy", spread=judged.many_copies)
-    return rows.select(F.lit("po_headers").alias("table_name"), "record_id", "rule_name", "reason")
-
-
-def item_rules() -> list[Rule]:
-    return [
-        Rule("missing_description", F.col("description").isNull(), F.lit("description is NULL")),
-        # A quantity that does not parse is NULL too.
-        Rule("missing_quantity", F.col("quantity").isNull(), F.lit("quantity is NULL")),
-        Rule("orphan_po", F.col("has_parent").isNull(), F.lit("po_id not found in PO headers")),
-        Rule("parent_po_quarantined", F.col("parent_broken"), F.lit("the parent PO failed validation")),
-        Rule("missing_key", F.col("record_id").isNull(), F.lit("po_id or item_no is NULL")),
-    ]
+    times = F.when(F.col("rule_name") == "duplicate_po_id", F.col("copies") - 1).otherwise(1)
+    return unroll(rows, F.lit(0), times, "copy", spread=judged.many_copies).drop("copies", "copy")
 
 
 def judge_items(items: DataFrame, judged: JudgedHeaders, hot_pos: Sequence[HotKey] | None = None) -> DataFrame:
-    """Items with `record_id` and `found`, from a single join with the judged orders.
-
-    A line is reported once per distinct order date of its PO that it precedes: copies of
-    a header may disagree on the date.
-    """
+    """Items with `record_id` and what their PO says about them, from a single join."""
     parents = judged.pos.select(
-        "po_id", "order_dates", (F.size("found") > 0).alias("parent_broken"), F.lit(True).alias("has_parent")
+        "po_id", "order_dates", F.array_max("order_dates").alias("latest_order"),
+        (F.size("found") > 0).alias("parent_broken"), F.lit(True).alias("has_parent"),
     )
     items = items.withColumn("record_id", line_key(F.col("po_id"), F.col("item_no")))
-    joined = skew_safe_join(items, parents, "po_id", "left", hot_pos)
-    early = F.transform(
-        F.filter("order_dates", lambda d: F.col("delivery_date") < d),
-        lambda d: finding(
-            "delivery_before_order",
-            F.concat(F.lit("delivery_date "), F.col("delivery_date").cast("string"),
-                     F.lit(" is before order_date "), d.cast("string")),
-        ),
-    )
-    none = F.expr("cast(array() as array<struct<rule_name:string,reason:string>>)")
-    return joined.withColumn("found", F.concat(findings(item_rules()), F.coalesce(early, none)))
+    return skew_safe_join(items, parents, "po_id", "left", hot_pos)
 
 
 def quarantine_items(judged_items: DataFrame) -> DataFrame:
-    return quarantine_rows(judged_items, "po_items", "record_id", "found")
+    """One row per rule a line broke.
+
+    A line is reported once per distinct order date of its PO that it precedes: copies of
+    a header may disagree on the date.
+    """
+    suspect = any_broken(ITEM_RULES) | F.expr("coalesce(delivery_date < latest_order, false)")
+    early = F.expr("""transform(filter(order_dates, d -> delivery_date < d), d -> named_struct(
+        'rule_name', 'delivery_before_order',
+        'reason', 'delivery_date ' || string(delivery_date) || ' is before order_date ' || string(d)))""")
+    # Only the few suspects reach the per-date work.
+    found = F.concat(findings(ITEM_RULES), F.coalesce(early, no_findings()))
+    return judged_items.where(suspect).select(
+        F.lit("po_items").alias("table_name"), "record_id", F.inline(found)
+    )
