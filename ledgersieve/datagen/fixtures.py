@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgersieve.datagen.clean import SLOTS, Clean
 from ledgersieve.datagen.inject import Bronze
@@ -87,7 +88,9 @@ class TableOrders(Clean):
         # Lines equal on these are interchangeable below, so no further tie-break is carried along.
         order = ["l_linenumber", "l_partkey", "l_quantity"]
         lineitem = self._table("lineitem").select("l_orderkey", *order)
-        dates = self._table("orders").selectExpr("o_orderkey AS l_orderkey", "date(o_orderdate) AS order_date")
+        # One row per order, so that a repeated order cannot multiply its lines.
+        dates = self._table("orders").groupBy(F.col("o_orderkey").alias("l_orderkey"))
+        dates = dates.agg(F.min("o_orderdate").cast("date").alias("order_date"))
         goods = self._table("part").selectExpr("p_partkey AS l_partkey", "p_name", "p_type", "p_retailprice")
         lines = number_rows(lineitem, "l_orderkey", order, self._hot["l_orderkey"], "n")
         lines = skew_safe_join(lines, dates, "l_orderkey", "left", self._hot["l_orderkey"])
