@@ -22,10 +22,8 @@ from ledgersieve.catalog.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "stg_po_headers", "stg_po_items", "column_profile", "pattern_checks", "numeric_spread", "currency_distribution",
     "quarantine_po_headers", "quarantine_po_items", "silver_po_headers", "silver_po_items",
-    "check_unique", "check_relationships", "check_custom", "check_report",
-    "issue_recall", "rule_precision", "run_metrics", "row_accounting", "answer_key", "order_totals",
-    "synthetic_items", "load_audit", "table_profile", "line_value_spread", "repeated_line_keys",
-    "shipped_before_ordered",
+    "check_unique", "check_relationships", "check_custom", "issue_recall", "row_accounting",
+    "answer_key", "order_totals", "line_value_spread", "repeated_line_keys", "shipped_before_ordered",
 )
 
 
