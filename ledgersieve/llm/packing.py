@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import os
+from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -28,15 +29,19 @@ TIERS = (512, 1024, 2048, 4096)
 CHUNK_TOKENS = 1 << 21
 STEP_TOKENS = 1 << 16
 KNOWN_WORDS = 1 << 19
+TEXT_SLICE = 1 << 22
+MARKS = ",.!?#$%&*;:"
 
 Piece = tuple[int, int, int]  # document, start, length
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that never joins characters across white space.
+    """Ids of texts by the lower-casing word tokenizer, which never joins characters across white space.
 
     Texts are cut at white space and every distinct word is tokenised once; the ids are then put
-    back in place. At most KNOWN_WORDS words are remembered between calls.
+    back in place. A-Z are lowered first, and a tail of marks after a letter is a word of its own:
+    the tokenizer lowers letters one by one and starts a new match at such a mark, so both leave the
+    ids as they are. At most KNOWN_WORDS words are remembered between calls.
     """
 
     def __init__(self, path: str):
@@ -45,37 +50,58 @@ class WordTokenizer:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self._row: dict[str, int] = {}
-        self._ids: list[np.ndarray] = []
-        self._counts: list[int] = []
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        if len(self._row) > KNOWN_WORDS:
-            self._forget()
-        new = [w for w in words if w not in self._row]
-        for word, coded in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        self._ids: dict[str, list[int]] = {"": []}
+        self._flat = array("I")
+        self._start = array("q")
+        self._count = array("q")
+
+    def _learn(self, words: list[str]) -> None:
+        parts = []
+        for word in words:
+            core = word.rstrip(MARKS)
+            if len(core) == len(word) or not core or not (core[-1].isalpha() and core[-1] <= "\xff"):
+                core = word
+            parts.append((core, word[len(core) :]))
+        new = {x for pair in parts for x in pair} - self._ids.keys()
+        plain = [x for x in new if x.isalpha() and max(x) <= "\xff"]  # each one run of letters
+        lines = [" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
+        done = iter(plain)
+        for coded in self._tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+            ids, start = coded.ids, 0
+            for end in (np.flatnonzero(self._ends[ids]) + 1).tolist():
+                self._ids[next(done)] = ids[start:end]
+                start = end
+        odd = list(new.difference(plain))
+        for part, coded in zip(odd, self._tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
+            self._ids[part] = coded.ids
+        for word, (core, tail) in zip(words, parts):
+            ids = self._ids[core] + self._ids[tail]
             self._row[word] = len(self._row)
-            ids = coded.ids
-            self._ids.append(ids)
-            self._counts.append(len(ids))
-        return np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+            self._start.append(len(self._flat))
+            self._count.append(len(ids))
+            self._flat.extend(ids)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
-        texts = pc.fill_null(texts, "")
-        split = pc.ascii_split_whitespace(texts)
+        if len(self._row) > KNOWN_WORDS:
+            self._forget()
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        rows = self._rows(words)
-        counts = np.fromiter((self._counts[r] for r in rows), np.int64, len(rows))
-        flat = np.fromiter((i for r in rows for i in self._ids[r]), np.uint32, int(counts.sum()))
-        places = coded.indices.to_numpy()
-        ids = flat[ranges(row_offsets(counts)[:-1][places], counts[places])]
-        ends = row_offsets(counts[places])[row_offsets(pc.list_value_length(split).to_numpy())]
-        return ids, np.diff(ends)
+        self._learn([w for w in words if w not in self._row])
+        rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
+        rows = rows[coded.indices.to_numpy()]
+        counts = np.array(self._count)[rows]
+        ids = np.array(self._flat)[ranges(np.array(self._start)[rows], counts)]
+        ends = row_offsets(counts)[row_offsets(pc.list_value_length(split).to_numpy())]
+        return ids.astype(np.uint32, copy=False), np.diff(ends)
 
 
 def pack_chunk(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[Piece]]:
@@ -182,7 +208,7 @@ def pack(
 
         for batch in batches:
             types = [batch["id"].type, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 5]
-            for a, b in slices(batch, "text"):
+            for a, b in slices(batch, "text", TEXT_SLICE):
                 part = batch.slice(a, b - a)
                 ids, counts = coder.encode(part["text"])
                 ends = row_offsets(counts)
