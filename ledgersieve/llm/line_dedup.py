@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgersieve.llm.words import SPACE_BYTES
+from ledgersieve.sources.cut import cut
 
 _DROP = "__repeated_keys"
 _SIGN = 1 << 63
@@ -83,10 +84,10 @@ def line_dedup(
     id_type = docs.schema[id_col].dataType
     pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         explode, StructType([StructField("id", id_type), StructField("h1", LongType()), StructField("h2", LongType())]))
-    common = (
+    # Stored, so that Spark knows its size, and can split the rows of a hot key in the join.
+    common = cut(
         pairs.groupBy("h1", "h2").agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper"))
-        .where(F.col("n") >= min_docs)
-    )
+        .where(F.col("n") >= min_docs), "lines")
     repeated = (
         pairs.join(common, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
         .groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias(_DROP))
