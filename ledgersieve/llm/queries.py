@@ -7,13 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersieve.llm import line_dedup as lines
-from ledgersieve.llm import packing, simhash
+from ledgersieve.llm import outlier_rules, packing, rlz_dedup, secret_ledger, simhash
+from ledgersieve.sources.cut import new_folder
 
 
 def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("doc_id", "text")))
 
 
+def op3_rlz_dedup(spark, sf_dir):
+    parsed = rlz_dedup.rlz_dedup(_docs(spark, sf_dir))
+    return parsed.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_line_dedup(spark, sf_dir):
     kept = lines.line_dedup(_docs(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -31,13 +37,53 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_outlier_rules(spark, sf_dir):
+    judged = outlier_rules.quality_rules(_docs(spark, sf_dir, "doc_id", "text", "lang", "source"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+def op10_secret_ledger(spark, sf_dir):
+    found = secret_ledger.scan(_docs(spark, sf_dir), new_folder(spark, "secret-ledger"))
+    kinds = {k: f"size(filter(findings, x -> x.kind = '{k}'))" for k in secret_ledger.BASE}
+    listed = "array_join(transform({0}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
+    base = f"filter(findings, x -> x.kind in {secret_ledger.BASE})"
+    return found.selectExpr(
+        "doc_id", *[f"cast({e} as bigint) as n_{k}" for k, e in kinds.items()],
+        f"sha2({listed.format(base)}, 256) as base_sha256", f"{listed.format('findings')} as spans")
+
+
 QUERIES = {
+    "op3_rlz_dedup": op3_rlz_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op7_simhash": op7_simhash,
+    "op9_outlier_rules": op9_outlier_rules,
+    "op10_secret_ledger": op10_secret_ledger,
 }
 
+_WORDS = r"""list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
 ORACLE = {
+    "op3_rlz_dedup": f"""
+        WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        windows AS (
+            SELECT doc_id, pos, list_aggregate(w[pos:pos + 12], 'string_agg', ' ') AS win
+            FROM words, LATERAL (SELECT unnest(range(1, len(w) - 11)) AS pos) AS p),
+        copied AS (
+            SELECT doc_id, pos
+            FROM (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY win) AS earliest FROM windows) AS e
+            WHERE earliest < doc_id),
+        gone AS (SELECT DISTINCT doc_id, pos + step AS pos FROM copied, range(13) AS r(step)),
+        removed AS (SELECT doc_id, list(pos) AS gone FROM gone GROUP BY doc_id),
+        kept AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+                   CASE WHEN gone IS NULL THEN w
+                        ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS left_words
+            FROM words LEFT JOIN removed USING (doc_id))
+        SELECT doc_id, n_words, n_removed,
+               sha256(coalesce(list_aggregate(left_words, 'string_agg', ' '), '')) AS kept_sha256
+        FROM kept""",
     "op4_line_dedup": """
         WITH lines AS (
             SELECT doc_id, pos, line,
