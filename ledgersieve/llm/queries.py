@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersieve.llm import line_dedup as lines
-from ledgersieve.llm import outlier_rules, packing, rlz_dedup, secret_ledger, simhash
+from ledgersieve.llm import langid, outlier_rules, packing, quality_mil, rlz_dedup, secret_ledger, simhash
 from ledgersieve.sources.cut import new_folder
 
 
@@ -15,6 +15,19 @@ def _docs(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("doc_id", "text")))
 
 
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op1_quality_mil(spark, sf_dir):
+    docs = _docs(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(_remainder(5) != 0)
+    model = quality_mil.fit(docs, labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")))
+    return quality_mil.score(docs, model).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op3_rlz_dedup(spark, sf_dir):
     parsed = rlz_dedup.rlz_dedup(_docs(spark, sf_dir))
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -32,6 +45,13 @@ def op5_packing(spark, sf_dir):
         "sequence_tokens", "step_id")
 
 
+def op6_langid(spark, sf_dir):
+    docs = _docs(spark, sf_dir, "doc_id", "text", "lang")
+    model = langid.fit(docs.where(_remainder(4) != 2).withColumnRenamed("doc_id", "id"))
+    return langid.identify(docs, model).select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_docs(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -54,9 +74,11 @@ def op10_secret_ledger(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality_mil": op1_quality_mil,
     "op3_rlz_dedup": op3_rlz_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
+    "op6_langid": op6_langid,
     "op7_simhash": op7_simhash,
     "op9_outlier_rules": op9_outlier_rules,
     "op10_secret_ledger": op10_secret_ledger,
