@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersieve.llm import line_dedup as lines
-from ledgersieve.llm import langid, outlier_rules, packing, quality_mil, rlz_dedup, secret_ledger, simhash
+from ledgersieve.llm import (
+    decontam_lsa, html_mss, langid, outlier_rules, packing, quality_mil, rlz_dedup, secret_ledger, simhash,
+)
 from ledgersieve.sources.cut import new_folder
 
 
@@ -28,6 +30,12 @@ def op1_quality_mil(spark, sf_dir):
         "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_html_mss(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    found = html_mss.extract(pages, html_mss.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op3_rlz_dedup(spark, sf_dir):
     parsed = rlz_dedup.rlz_dedup(_docs(spark, sf_dir))
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -57,6 +65,11 @@ def op7_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_decontam_lsa(spark, sf_dir):
+    hits = decontam_lsa.find_items(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return hits.withColumnRenamed("id", "doc_id").drop("text_hash")
+
+
 def op9_outlier_rules(spark, sf_dir):
     judged = outlier_rules.quality_rules(_docs(spark, sf_dir, "doc_id", "text", "lang", "source"))
     return judged.select(
@@ -75,11 +88,13 @@ def op10_secret_ledger(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
+    "op2_html_mss": op2_html_mss,
     "op3_rlz_dedup": op3_rlz_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op6_langid": op6_langid,
     "op7_simhash": op7_simhash,
+    "op8_decontam_lsa": op8_decontam_lsa,
     "op9_outlier_rules": op9_outlier_rules,
     "op10_secret_ledger": op10_secret_ledger,
 }

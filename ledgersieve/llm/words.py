@@ -79,11 +79,12 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def split_words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _IS_SPACE) -> Words:
+    """Runs of bytes that `gap`, a flag per byte, does not mark; a run never crosses an offset."""
     if not len(data):
         empty = np.zeros(0, np.int64)
         return Words(data, empty, empty, np.zeros(len(offsets), np.int64))
-    space = _IS_SPACE[data]
+    space = gap[data]
     before = np.empty_like(space)
     before[0], before[1:] = True, space[:-1]
     after = np.empty_like(space)
