@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersieve.llm.words import row_offsets, slices, split_words, text_bytes
+from ledgersieve.llm.words import ranges, row_offsets, slices, split_words, text_bytes
 from ledgersieve.sources.cut import cut
 
 # Words of items that one block holds; it bounds the term table, and RANK times it the basis.
@@ -33,6 +33,9 @@ RANK, OVERSAMPLE, SEED = 64, 8, 11
 MAX_SHARE = 0.05
 # Least cosine of a candidate, and least shares of item and answer words in common order.
 COSINE, ITEM_SHARE, ANSWER_SHARE = 0.4, 0.7, 0.5
+# A passage with less of an item's term weight cannot hold the needed share of its words in order:
+# one of the overlapping passages holds at least three quarters of any run of up to PASSAGE words.
+COVERAGE = 0.35
 _PARTS = 16
 
 _GAP = np.ones(256, bool)
@@ -266,19 +269,34 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
+def _coverage(bounds, term, row, item, cells, shares, n_terms: int) -> np.ndarray:
+    """For pairs of a passage and an item, the share of the item's term weight that the passage holds.
+
+    `cells` are the sorted (item, term) pairs of the items, `shares` their weights.
+    """
+    counts = bounds[row + 1] - bounds[row]
+    at = np.repeat(item, counts) * n_terms + term[ranges(bounds[row], counts)]
+    found = np.minimum(np.searchsorted(cells, at), len(cells) - 1)
+    return np.bincount(np.repeat(np.arange(len(row)), counts), np.where(cells[found] == at, shares[found], 0), len(row))
+
+
 def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray, id_type: str, item_type: str) -> DataFrame:
     tfidf = np.zeros((len(items.ids), basis.shape[1]), np.float32)
+    cells, shares = [], []
     for k, sequence in enumerate(items.sequences):
         term, count = np.unique(sequence, return_counts=True)
+        cells.append(k * len(weights) + term)
+        shares.append(weights[term] / max(1e-9, weights[term].sum()))
         tfidf[k] = ((1 + np.log(count)) * weights[term]) @ basis[term]
     norm = np.linalg.norm(tfidf, axis=1)
     queries = tfidf / np.maximum(norm, 1e-9)[:, None]
     # An item of frequent terms only, or shorter than a few words, has no direction to be found by.
     silent = np.flatnonzero((norm < 1e-6) & (np.array([len(s) for s in items.sequences]) > 0))
-    shared = places.sparkSession.sparkContext.broadcast((items, weights, basis, queries, silent))
+    shared = places.sparkSession.sparkContext.broadcast(
+        (items, weights, basis, queries, silent, np.concatenate(cells), np.concatenate(shares)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, w, b, q, quiet = shared.value
+        own, w, b, q, quiet, cells, shares = shared.value
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
@@ -290,8 +308,10 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
                     rows /= np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
                     for i in range(0, len(rows), 8192):
                         near = rows[i : i + 8192] @ q.T
-                        for r, k in zip(*np.nonzero(near >= COSINE)):
-                            pairs.setdefault((int(doc[i + r]), int(k)), []).append((int(start[i + r]), float(near[r, k])))
+                        r, k = np.nonzero(near >= COSINE)
+                        able = _coverage(bounds, term, r + i, k, cells, shares, len(w)) >= COVERAGE
+                        for r, k in zip(r[able].tolist(), k[able].tolist()):
+                            pairs.setdefault((int(doc[i + r]), k), []).append((int(start[i + r]), float(near[r, k])))
                 for d in range(part.num_rows) if len(quiet) else ():
                     for k in quiet:
                         pairs[d, int(k)] = [(s, 0.0) for s in range(0, int(found.place[found.bounds[d + 1] - 1]) + 1, STRIDE)]
