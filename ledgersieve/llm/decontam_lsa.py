@@ -32,7 +32,7 @@ RANK, OVERSAMPLE, SEED = 64, 8, 11
 # Terms in a larger share of the passages say nothing about an item.
 MAX_SHARE = 0.05
 # Least cosine of a candidate, and least shares of item and answer words in common order.
-COSINE, ITEM_SHARE, ANSWER_SHARE = 0.4, 0.7, 0.5
+COSINE, ITEM_SHARE, ANSWER_SHARE = 0.2, 0.7, 0.5
 # A passage with less of an item's term weight cannot hold the needed share of its words in order:
 # one of the overlapping passages holds at least three quarters of any run of up to PASSAGE words.
 COVERAGE = 0.35
