@@ -128,7 +128,8 @@ def covariance_estimates(rows: DataFrame) -> DataFrame:
     estimate, total = cut(_start(rows), "mcd"), None
     for _ in range(MAX_STEPS):
         far = rows.join(estimate, "_key").select("_key", *FEATURES, _distance().alias("_d"))
-        edge = far.groupBy("_key").agg(F.percentile_approx("_d", SUPPORT, 1000).alias("_edge"))
+        # Stored, so that Spark knows its size, and can split a hot key in the join.
+        edge = cut(far.groupBy("_key").agg(F.percentile_approx("_d", SUPPORT, 1000).alias("_edge")), "mcd")
         estimate = cut(_whitened(_moments(far.join(edge, "_key").where("_d <= _edge"))), "mcd")
         last, total = total, estimate.agg(F.sum("logdet")).first()[0]
         if total is None or last is not None and last - total < 1e-3:
@@ -148,7 +149,7 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataF
         F.explode(F.array(*keys)).alias("_key"), *FEATURES)
     levels = cut(levels, "vectors")
     large = levels.groupBy("_key").count().where((F.col("count") >= MIN_GROUP) | (F.col("_key") == "*"))
-    known = covariance_estimates(cut(levels.join(large.select("_key"), "_key"), "vectors"))
+    known = covariance_estimates(cut(levels.join(cut(large.select("_key"), "mcd"), "_key"), "vectors"))
     cutoff = chi_square(1 - ALPHA, len(FEATURES))
     names = known.select(F.col("_key").alias("_known"))
     pick = vectors.withColumns({f"_k{i}": k for i, k in enumerate(keys)})
