@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgersieve.sources.cut import cut
+
 _LEDGER = "blob binary, pairs array<struct<rule: string, spans: array<struct<start: bigint, end: bigint>>>>"
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _PAIRS = pa.list_(pa.struct([("rule", pa.string()), ("spans", pa.list_(_SPAN))]))
@@ -105,9 +107,10 @@ def scan(
     pairs = read_ledger(spark, ledger).select("blob", F.explode("pairs").alias("p")).where(F.col("p.rule").isin(*by_key))
     spans = pairs.select("blob", "p.rule", F.explode("p.spans").alias("s"))
     rank = F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), F.col("rule"))
-    found = spans.groupBy("blob").agg(F.array_sort(F.collect_set(F.struct(
+    # Stored, so that Spark can split the rows of a hot content in the join.
+    found = cut(spans.groupBy("blob").agg(F.array_sort(F.collect_set(F.struct(
         F.col("s.start").alias("start"), rank.alias("rank"), F.col("s.end").alias("end"),
-        F.split("rule", "@")[0].alias("kind")))).alias("found"))
+        F.split("rule", "@")[0].alias("kind")))).alias("found")), "findings")
     joined = own.select("id", "blob").join(found, "blob", "left")
     none = F.expr("cast(array() as array<struct<start: bigint, rank: int, end: bigint, kind: string>>)")
     return joined.select(
