@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -23,7 +24,8 @@ HEADLINE = (
     "stg_po_headers", "stg_po_items", "column_profile", "pattern_checks", "numeric_spread", "currency_distribution",
     "quarantine_po_headers", "quarantine_po_items", "silver_po_headers", "silver_po_items",
     "check_unique", "check_relationships", "check_custom", "issue_recall", "row_accounting",
-    "answer_key", "order_totals", "line_value_spread", "repeated_line_keys", "shipped_before_ordered",
+    "check_report", "rule_precision", "run_metrics", "synthetic_items", "load_audit", "table_profile",
+    "monitoring_latest", "stored_failures", "answer_key", "order_totals", "line_value_spread", "repeated_line_keys", "shipped_before_ordered",
 )
 
 
@@ -38,6 +40,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

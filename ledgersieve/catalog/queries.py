@@ -261,10 +261,6 @@ def _synthetic(spark: SparkSession, sf_dir: str):
     return synth.SyntheticOrders(spark, orders, suppliers, SYNTH_SEED)
 
 
-def synthetic_suppliers(spark, sf_dir):
-    return plain(_synthetic(spark, sf_dir).suppliers)
-
-
 def synthetic_headers(spark, sf_dir):
     return plain(_synthetic(spark, sf_dir).headers.drop("order_hash", "supplier_hash", "supplier_no"))
 
@@ -327,7 +323,7 @@ QUERIES: dict[str, Query] = {
         check_report, stored_failures,
         issue_recall, rule_precision, run_metrics, monitoring_latest, row_accounting,
         answer_key, inject_summary, order_totals,
-        synthetic_suppliers, synthetic_headers, synthetic_items, seeded_answer_key,
+        synthetic_headers, synthetic_items, seeded_answer_key,
         table_profile, line_value_spread, priority_distribution, repeated_line_keys,
         unlabelled_documents, unexpected_event_types, shipped_before_ordered,
     )

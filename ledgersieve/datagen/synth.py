@@ -37,7 +37,8 @@ GOODS = {
 }
 NAME_PARTS = (("North", "Blue", "Iron", "Clear", "Old"), ("bridge", "field", "works", "harbor", "mill"),
               ("Ltd", "Inc", "AG", "and Sons"))
-SUFFIXES = (" - rush", " (urgent)", " ref ", " / bulk order")
+REMARKS = (" [for site B]", " (see annex)", ", as quoted", " [priority]")
+# Wrong currency codes and factors of the injected errors.
 BAD_CURRENCIES = ("EURO", "EU", "US$", "XXX")
 OUTLIER_FACTORS = (20, 50, 100)
 FIRST_DAY, DAYS = "2024-01-01", 730
@@ -100,13 +101,11 @@ def synth_headers(orders: DataFrame, suppliers: int, seed: int) -> DataFrame:
 
 
 def _noisy(text: Column, row: Column) -> Column:
-    """Mixed case and the remarks people add to descriptions."""
-    shout = draw_unit(row, "case")
-    text = F.when(shout < 0.15, F.upper(text)).when(shout < 0.30, F.lower(text)).otherwise(text)
-    suffix = draw_choice(row, "suffix", SUFFIXES)
-    number = (draw_below(row, "ref", 9000) + 1000).cast("string")
-    suffix = F.when(suffix == " ref ", F.concat(suffix, number)).otherwise(suffix)
-    return F.when(draw_unit(row, "remark") < 0.2, F.concat(text, suffix)).otherwise(text)
+    """One description in eight in capitals, one in small letters; one in six with a remark."""
+    form = draw_below(row, "form", 8)
+    spelt = F.when(form == 0, F.upper(text)).when(form == 1, F.lower(text)).otherwise(text)
+    note = draw_choice(row, "note", REMARKS)
+    return F.concat(spelt, F.when(draw_below(row, "noted", 6) == 0, note).otherwise(F.lit("")))
 
 
 def synth_items(headers: DataFrame, seed: int) -> DataFrame:

@@ -24,8 +24,12 @@ def whole_number(text: Column) -> Column:
     return text.try_cast(DecimalType(38, 0))
 
 
+DECIMAL_TEXT = r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+
+
 def number(text: Column) -> Column:
-    return text.try_cast("double")
+    """DOUBLE for a decimal text, else NULL; a bare cast would also take '12d' or '0x1p3'."""
+    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast("double"))
 
 
 def code(text: Column) -> Column:
@@ -35,7 +39,7 @@ def code(text: Column) -> Column:
 
 def whole_match(text: Column, pattern: str) -> Column:
     """True when the whole text matches; rlike alone searches for a substring."""
-    return text.rlike(f"^(?:{pattern})$")
+    return text.rlike(rf"\A(?:{pattern})\z")
 
 
 def line_key(po_id: Column, item_no: Column) -> Column:

@@ -1,6 +1,6 @@
 """Joins that hold when one key owns a large share of the rows.
 
-One pass with a bounded sketch names the few heavy keys before the join is planned. With
+One exact count per key names the few heavy keys before the join is planned. With
 none, the join is left to Catalyst and AQE as it is. Otherwise only the heavy keys are
 salted: their rows on the big side are spread by input split, and the matching rows on
 the other side are repeated once per salt. Which keys are named affects only where rows
@@ -21,11 +21,6 @@ from pyspark.sql.types import DataType, IntegerType, StructField, StructType
 # Rows of one key that a single task handles comfortably; smaller groups are never hot.
 ROWS_CONF = "spark.ledgersieve.hotKeyRows"
 DEFAULT_ROWS = 1_000_000
-# A key below this share of the rows is no larger than an ordinary shuffle partition. The
-# share also bounds the number of hot keys by its inverse, so the list is always small.
-MIN_SHARE = 1 / 1000
-_MAX_KEYS = round(1 / MIN_SHARE)
-_TRACKED = 10 * _MAX_KEYS
 
 
 @dataclass(frozen=True)
@@ -39,22 +34,15 @@ def hot_key_rows(spark: SparkSession) -> int:
 
 
 def find_hot_keys(df: DataFrame, *columns: str) -> dict[str, list[HotKey]]:
-    """Heavy values (NULL included) of each column, from one scan and a one-row result.
+    """Values (NULL included) of each column that hold at least as many rows as one task should take.
 
-    A table with fewer rows than one hot key is only counted, which for a stored table
-    reads file footers.
+    Counts are exact and combine on the map side; at most one value per `hot_key_rows` rows comes back.
     """
-    rows = hot_key_rows(df.sparkSession)
-    if df.count() < rows:
-        return {c: [] for c in columns}
-    sketches = [F.expr(f"approx_top_k(`{c}`, {_MAX_KEYS}, {_TRACKED})").alias(c) for c in columns]
-    found = df.select(*columns).agg(F.count("*").alias("_total"), *sketches).first()
-    floor = max(rows, MIN_SHARE * found["_total"], 2)
+    rows = max(2, hot_key_rows(df.sparkSession))
     return {
         c: [
-            HotKey(entry["item"], max(2, math.ceil(entry["count"] / rows)))
-            for entry in found[c] or []
-            if entry["count"] >= floor
+            HotKey(found[0], max(2, math.ceil(found[1] / rows)))
+            for found in df.groupBy(c).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= rows).collect()
         ]
         for c in columns
     }
@@ -63,7 +51,7 @@ def find_hot_keys(df: DataFrame, *columns: str) -> dict[str, list[HotKey]]:
 def hot_key_frame(
     spark: SparkSession, hot: Sequence[HotKey], key_type: DataType, key: str = "_hot_key"
 ) -> DataFrame:
-    """At most 1/MIN_SHARE rows, so it is safe to broadcast."""
+    """One row per `hot_key_rows` rows of the table at most."""
     schema = StructType([StructField(key, key_type), StructField("_fanout", IntegerType())])
     return spark.createDataFrame([(h.value, h.fanout) for h in hot], schema)
 

@@ -52,8 +52,8 @@ def append_run(metrics: DataFrame, path: str, run_at: datetime, full_refresh: bo
     """Append one run, by run date. A run instant may be used once, or two runs would merge."""
     spark = metrics.sparkSession
     if not full_refresh and _exists(spark, path):
-        same_day = read_history(spark, path).where(F.col("run_date") == F.lit(run_at.date()))
-        if not same_day.where(F.col("run_at") == F.lit(run_at)).isEmpty():
+        # The session casts the instant here as it did when the run was stored; a Python date might differ.
+        if not read_history(spark, path).where(F.col("run_at") == F.lit(run_at).cast("timestamp")).isEmpty():
             raise ValueError(f"the history already holds a run at {run_at}")
     dated = metrics.withColumn("run_date", F.to_date("run_at"))
     mode = "overwrite" if full_refresh else "append"

@@ -59,3 +59,15 @@ def test_percent_rounds_half_up_and_survives_an_empty_whole(spark):
     got = [r[0] for r in df.select(percent(F.col("a"), F.col("b"), 2)).collect()]
     assert got == [33.33, 66.67, 12.5, 0.05, 0.0, None, 0.5]
     assert [r[0] for r in df.select(percent(F.col("a"), F.col("b"), 1)).collect()][2] == 12.5
+
+
+def test_number_takes_decimal_text_only(spark):
+    texts = ["12d", "12f", "0x1p3", "NaN", "Infinity", "", " ", None, "1e3", " -2.5 ", ".5", "7."]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(number(F.col("t")))
+    assert [r[0] for r in df.collect()] == [None] * 8 + [1000.0, -2.5, 0.5, 7.0]
+
+
+def test_whole_match_refuses_a_trailing_line_break(spark):
+    df = spark.createDataFrame([("2024-01-01",), ("2024-01-01\n",), ("x2024-01-01",)], "t string")
+    found = df.select(whole_match(F.col("t"), "[0-9]{4}-[0-9]{2}-[0-9]{2}")).collect()
+    assert [r[0] for r in found] == [True, False, False]
