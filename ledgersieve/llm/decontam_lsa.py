@@ -146,12 +146,12 @@ class Places:
             parts.append((doc[early], step[early] - back, term[early]))
         doc, step, term = (np.concatenate(x) for x in zip(*parts))
         width = int(step.max(initial=0)) + 1
-        row = doc * width + step
-        names, row = np.unique(row, return_inverse=True)
         size = int(term.max(initial=0)) + 1
-        cells, counts = np.unique(row * size + term, return_counts=True)
+        cells, counts = np.unique((doc * width + step) * size + term, return_counts=True)
         row, term = cells // size, cells % size
-        bounds = np.searchsorted(row, np.arange(len(names) + 1))
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        names, bounds = row[starts], np.append(starts, len(row))
+        row = np.repeat(np.arange(len(names)), np.diff(bounds))
         values = np.ones(len(cells), np.float32)
         if weights is not None:
             values = ((1 + np.log(counts)) * weights[term]).astype(np.float32)
