@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgersieve.llm.sampling import bounded_sample
+
 # Labelled pages that weights are learned from: those with the least hashes of their ids.
 FIT_PAGES = 500
 # What a tag costs at least, what one of unknown kind costs, and the most that a tag can cost, in words.
@@ -137,8 +139,8 @@ def main_text(page: str | None, weights: Weights) -> str:
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> Weights:
     """Weights from at most FIT_PAGES labelled pages of the table."""
     labelled = pages.where(F.col(html_col).rlike("(?i)<(article|main)[ >]"))
-    sample = labelled.orderBy(F.xxhash64(id_col), id_col, F.xxhash64(html_col)).select(html_col).limit(FIT_PAGES)
-    return learn([r[0] for r in sample.collect()])
+    sample = bounded_sample(labelled, FIT_PAGES, F.col(id_col), F.xxhash64(html_col))
+    return learn([r[0] for r in sample.select(html_col).collect()])
 
 
 def extract(

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgersieve.llm.sampling import bounded_sample
 from ledgersieve.llm.words import ranges, row_offsets, slices, split_words, text_bytes
 
 PASSAGE_WORDS = 64
@@ -134,10 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Rows without id, label or text are left out.
     """
-    chosen = (
-        labels.where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
-    )
+    marked = labels.where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
+    chosen = bounded_sample(marked, FIT_ROWS, F.col("id"))
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch, "text"):
