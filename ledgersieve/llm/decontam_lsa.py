@@ -37,6 +37,8 @@ COSINE, ITEM_SHARE, ANSWER_SHARE = 0.2, 0.7, 0.5
 # one of the overlapping passages holds at least three quarters of any run of up to PASSAGE words.
 COVERAGE = 0.35
 _PARTS = 16
+# Passages times items that are compared in one step.
+_PAIRS = 1 << 21
 
 _GAP = np.ones(256, bool)
 _GAP[48:58] = _GAP[65:91] = _GAP[97:123] = _GAP[128:] = False
@@ -269,34 +271,51 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
-def _coverage(bounds, term, row, item, cells, shares, n_terms: int) -> np.ndarray:
-    """For pairs of a passage and an item, the share of the item's term weight that the passage holds.
+@dataclass
+class Postings:
+    """The items that hold each term, one term after the other, with the term's share of the item's weight."""
 
-    `cells` are the sorted (item, term) pairs of the items, `shares` their weights.
-    """
-    counts = bounds[row + 1] - bounds[row]
-    at = np.repeat(item, counts) * n_terms + term[ranges(bounds[row], counts)]
-    found = np.minimum(np.searchsorted(cells, at), len(cells) - 1)
-    return np.bincount(np.repeat(np.arange(len(row)), counts), np.where(cells[found] == at, shares[found], 0), len(row))
+    starts: np.ndarray
+    counts: np.ndarray
+    item: np.ndarray
+    share: np.ndarray
+
+    @classmethod
+    def of(cls, items: Items, weights: np.ndarray) -> Postings:
+        none = [np.zeros(0)]
+        found = [np.unique(s) for s in items.sequences]
+        term = np.concatenate(none + found).astype(np.int64)
+        item = np.repeat(np.arange(len(found)), [len(t) for t in found])
+        share = np.concatenate(none + [weights[t] / max(1e-9, weights[t].sum()) for t in found])
+        order = np.argsort(term, kind="stable")
+        counts = np.bincount(term, minlength=len(weights))
+        return cls(row_offsets(counts)[:-1], counts, item[order], share[order])
+
+    def coverage(self, bounds: np.ndarray, term: np.ndarray, n_items: int) -> np.ndarray:
+        """For each passage (a range of terms) and item, the share of the item's term weight that the passage holds."""
+        n = len(bounds) - 1
+        term = term[bounds[0] : bounds[-1]]
+        counts = self.counts[term]
+        at = ranges(self.starts[term], counts)
+        row = np.repeat(np.arange(n) * n_items, np.add.reduceat(counts, bounds[:-1] - bounds[0]))
+        return np.bincount(row + self.item[at], self.share[at], n * n_items).reshape(n, n_items)
 
 
 def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray, id_type: str, item_type: str) -> DataFrame:
     tfidf = np.zeros((len(items.ids), basis.shape[1]), np.float32)
-    cells, shares = [], []
     for k, sequence in enumerate(items.sequences):
         term, count = np.unique(sequence, return_counts=True)
-        cells.append(k * len(weights) + term)
-        shares.append(weights[term] / max(1e-9, weights[term].sum()))
         tfidf[k] = ((1 + np.log(count)) * weights[term]) @ basis[term]
     norm = np.linalg.norm(tfidf, axis=1)
     queries = tfidf / np.maximum(norm, 1e-9)[:, None]
     # An item of frequent terms only, or shorter than a few words, has no direction to be found by.
     silent = np.flatnonzero((norm < 1e-6) & (np.array([len(s) for s in items.sequences]) > 0))
     shared = places.sparkSession.sparkContext.broadcast(
-        (items, weights, basis, queries, silent, np.concatenate(cells), np.concatenate(shares)))
+        (items, weights, basis, queries, silent, Postings.of(items, weights)))
+    step = max(1, _PAIRS // max(1, len(items.ids)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, w, b, q, quiet, cells, shares = shared.value
+        own, w, b, q, quiet, postings = shared.value
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
@@ -306,11 +325,10 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
                 if len(doc):
                     rows = _project(bounds, term, values, b)
                     rows /= np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
-                    for i in range(0, len(rows), 8192):
-                        near = rows[i : i + 8192] @ q.T
-                        r, k = np.nonzero(near >= COSINE)
-                        able = _coverage(bounds, term, r + i, k, cells, shares, len(w)) >= COVERAGE
-                        for r, k in zip(r[able].tolist(), k[able].tolist()):
+                    for i in range(0, len(rows), step):
+                        near = rows[i : i + step] @ q.T
+                        held = postings.coverage(bounds[i : i + len(near) + 1], term, len(q))
+                        for r, k in np.argwhere((near >= COSINE) & (held >= COVERAGE)).tolist():
                             pairs.setdefault((int(doc[i + r]), k), []).append((int(start[i + r]), float(near[r, k])))
                 for d in range(part.num_rows) if len(quiet) else ():
                     for k in quiet:
