@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,19 +82,34 @@ def load_audit(spark, sf_dir):
 
 
 def bronze_from_csv(spark, sf_dir):
-    """Order lines after the trip through compressed text files."""
+    """All five tables after the trip through compressed text files, their fields by position."""
     folder = new_folder(spark, "landing")
-    landing.write_landing({"po_items": _bronze(spark, sf_dir).items}, folder)
-    return landing.read_landing(spark, folder, "po_items", BRONZE_TABLES["po_items"][1])
+    landing.write_landing(_bronze(spark, sf_dir).stored().tables(), folder)
+    width = max(len(schema) for _, schema in BRONZE_TABLES.values())
+
+    def fields(stem: str) -> DataFrame:
+        table_name, schema = BRONZE_TABLES[stem]
+        found = [F.col(c) for c in schema.names] + [F.lit(None).cast("string")] * (width - len(schema))
+        return landing.read_landing(spark, folder, stem, schema).select(
+            F.lit(table_name).alias("table_name"), *[c.alias(f"field_{i}") for i, c in enumerate(found, 1)])
+
+    return reduce(DataFrame.unionByName, [fields(stem) for stem in BRONZE_TABLES])
 
 
 def landed_files(spark, sf_dir):
+    """Every landed table: whether its files hold bytes, and the rows read back from them.
+
+    Sizes and numbers of files depend on the codec and the cores, so they are not part of the result.
+    """
     folder = new_folder(spark, "landing")
-    bronze = _bronze(spark, sf_dir)
-    landing.write_landing({"suppliers": bronze.suppliers, "po_headers": bronze.headers}, folder)
+    landing.write_landing(_bronze(spark, sf_dir).stored().tables(), folder)
     stem = F.regexp_extract("path", r"([a-z_]+)\.csv", 1)
     files = landing.landed_files(spark, folder).groupBy(stem.alias("file_stem"))
-    return files.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+    files = files.agg((F.sum("bytes") > 0).alias("has_bytes"))
+    read = reduce(DataFrame.unionByName, [
+        landing.read_landing(spark, folder, name, schema).agg(F.count("*").alias("rows_read"))
+        .select(F.lit(name).alias("file_stem"), "rows_read") for name, (_, schema) in BRONZE_TABLES.items()])
+    return files.join(read, "file_stem")
 
 
 # --- profiling -------------------------------------------------------------------------
@@ -189,12 +205,12 @@ def check_report(spark, sf_dir):
 
 
 def stored_failures(spark, sf_dir):
-    """Rows kept behind each staging check."""
-    bronze = _bronze(spark, sf_dir).stored()
-    tables = {f"stg_{name}": df for name, df in build.staging_tables(bronze).items()}
-    checks = po_checks.staging_checks(bronze.hot_item_pos)
+    """Rows kept behind each check of staging and silver."""
+    layers = _layers(spark, sf_dir, *build.SILVER)
+    hot = layers.bronze.hot_item_pos
+    checks = po_checks.staging_checks(hot) + po_checks.silver_checks(hot)
     root = new_folder(spark, "test-failures")
-    c.run_checks(checks, tables, root)
+    c.run_checks(checks, layers.checked_tables(), root)
     kept = None
     for check in checks:
         stored = spark.read.parquet(f"{root}/{check.table}__{check.label}")
@@ -234,9 +250,16 @@ def monitoring_latest(spark, sf_dir):
 
 def row_accounting(spark, sf_dir):
     layers = _layers(spark, sf_dir, "quarantine.po_items")
-    return monitoring.row_accounting(
-        layers.staging["po_headers"], layers.staging["po_items"], layers.silver["po_headers"],
-        layers.silver["po_items"], layers.quarantined_headers, layers.quarantined_items)
+    return build.account(layers)
+
+
+def recall_from_csv(spark, sf_dir):
+    """Land the tables as text, load them, run everything on what was loaded, and score the rules."""
+    folder, loaded = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    landing.write_landing(_bronze(spark, sf_dir).stored().tables(), folder)
+    landing.load_bronze(spark, folder, loaded)
+    bronze = landing.LoadedBronze(spark, loaded)
+    return build.run(spark, bronze, new_folder(spark, "warehouse"), FIRST_RUN).recall
 
 
 # --- generation ------------------------------------------------------------------------
@@ -321,7 +344,7 @@ QUERIES: dict[str, Query] = {
         silver_suppliers, silver_po_headers, silver_po_items,
         check_not_null, check_unique, check_accepted_values, check_relationships, check_custom,
         check_report, stored_failures,
-        issue_recall, rule_precision, run_metrics, monitoring_latest, row_accounting,
+        issue_recall, rule_precision, run_metrics, monitoring_latest, row_accounting, recall_from_csv,
         answer_key, inject_summary, order_totals,
         synthetic_headers, synthetic_items, seeded_answer_key,
         table_profile, line_value_spread, priority_distribution, repeated_line_keys,

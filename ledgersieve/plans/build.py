@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgersieve.datagen.inject import Bronze
 from ledgersieve.operators.checks import run_checks
-from ledgersieve.plans import checks, evaluation, monitoring
+from ledgersieve.plans import checks, evaluation, monitoring, profiling
 from ledgersieve.plans.quarantine import (
     JudgedHeaders, judge_headers, judge_items, quarantine_headers, quarantine_items,
 )
 from ledgersieve.plans.silver import hot_record_ids, silver_headers, silver_items, silver_suppliers
 from ledgersieve.plans.staging import stage_headers, stage_items, stage_suppliers
+from ledgersieve.sources.landing import LoadedBronze
 from ledgersieve.sources.tables import Warehouse
 
 
-def staging_tables(bronze: Bronze) -> dict[str, DataFrame]:
+def staging_tables(bronze: Bronze | LoadedBronze) -> dict[str, DataFrame]:
     return {
         "suppliers": stage_suppliers(bronze.suppliers),
         "po_headers": stage_headers(bronze.headers),
@@ -39,7 +40,7 @@ class Layers:
     on; the others stay queries, for callers that read them a single time.
     """
 
-    def __init__(self, bronze: Bronze, store: Warehouse, kept: Collection[str] = QUARANTINE + SILVER):
+    def __init__(self, bronze: Bronze | LoadedBronze, store: Warehouse, kept: Collection[str] = QUARANTINE + SILVER):
         self.bronze, self._store, self._kept = bronze, store, kept
 
     def _keep(self, layer: str, name: str, df: DataFrame) -> DataFrame:
@@ -88,20 +89,41 @@ class Run:
     layers: Layers
     staging_report: DataFrame
     silver_report: DataFrame
+    accounting: DataFrame
     recall: DataFrame
     precision: DataFrame
     history: DataFrame
 
 
-def run(spark: SparkSession, bronze: Bronze, root: str, run_at: datetime, full_refresh: bool = False) -> Run:
-    """Build every layer. A failed silver check stops before evaluation and monitoring."""
+class RowsUnaccounted(RuntimeError):
+    """Some staged rows are neither in silver nor in quarantine. The accounting is already stored."""
+
+
+def account(layers: Layers) -> DataFrame:
+    return monitoring.row_accounting(
+        layers.staging["po_headers"], layers.staging["po_items"], layers.silver["po_headers"],
+        layers.silver["po_items"], layers.quarantined_headers, layers.quarantined_items)
+
+
+def run(
+    spark: SparkSession, bronze: Bronze | LoadedBronze, root: str, run_at: datetime, full_refresh: bool = False
+) -> Run:
+    """Profile bronze, then build every layer. A failed silver check or an unaccounted row stops before the evaluation."""
     store = Warehouse(spark, root)
     layers = Layers(bronze, store)
+    store.replace("profiling", "column_profile", profiling.column_profile(bronze.suppliers, bronze.headers, bronze.items))
+    store.replace("profiling", "pattern_checks", profiling.pattern_checks(
+        bronze.suppliers, bronze.headers, bronze.items, bronze.hot_item_pos))
     tables, failures = layers.checked_tables(), f"{root}/test_failures"
     hot = bronze.hot_item_pos
     staging_report = run_checks(checks.staging_checks(hot), tables, failures)
     silver_report = run_checks(checks.silver_checks(hot), tables, failures)
 
+    accounting = store.replace("monitoring", "row_accounting", account(layers))
+    lost = accounting.where("unaccounted <> 0").collect()  # one row per table at most
+    if lost:
+        raise RowsUnaccounted(", ".join(f"{r['table_name']}: {r['unaccounted']}" for r in lost))
+
     rule_map = evaluation.issue_rule_map(spark)
     key = bronze.answer_key
     recall = store.replace("evaluation", "issue_recall", evaluation.issue_recall(key, layers.quarantined, rule_map))
@@ -111,4 +133,4 @@ def run(spark: SparkSession, bronze: Bronze, root: str, run_at: datetime, full_r
     history = store.path("monitoring", "run_history")
     metrics = monitoring.run_metrics(layers.staging, layers.silver, layers.quarantined, run_at)
     monitoring.append_run(metrics, history, run_at, full_refresh)
-    return Run(layers, staging_report, silver_report, recall, precision, monitoring.read_history(spark, history))
+    return Run(layers, staging_report, silver_report, accounting, recall, precision, monitoring.read_history(spark, history))

@@ -9,6 +9,7 @@ def _text(*names: str) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+# Table and column names.
 SUPPLIERS_RAW = _text("supplier_id", "name", "country", "payment_terms", "created_date")
 PO_HEADERS_RAW = _text("po_id", "supplier_id", "order_date", "currency", "total_amount")
 PO_ITEMS_RAW = _text("po_id", "item_no", "description", "quantity", "unit_price", "delivery_date")
@@ -28,5 +29,3 @@ BRONZE_TABLES = {
 COUNTRIES = ("CZ", "DE", "PL", "SK", "AT", "NL", "US")
 PAYMENT_TERMS = ("NET30", "NET45", "NET60")
 CURRENCIES = ("EUR", "USD")
-
-QUARANTINE_COLUMNS = ("table_name", "record_id", "rule_name", "reason")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ledgersieve.operators.skew import HotKey, find_hot_keys
 from ledgersieve.schemas import BRONZE_TABLES
 
 # Quotes inside a quoted field are doubled.
@@ -49,15 +52,17 @@ def landed_files(spark: SparkSession, folder: str) -> DataFrame:
 _AUDIT = StructType([StructField("table_name", StringType()), StructField("rows_loaded", LongType())])
 
 
-def load_bronze(spark: SparkSession, landing: str, bronze: str) -> DataFrame:
+def load_bronze(spark: SparkSession, landing: str, bronze: str, multiline: bool = False) -> DataFrame:
     """Replace every bronze table by its landing files. Running it again changes nothing.
 
+    Set `multiline` when quoted fields hold line breaks (see read_landing).
+
     The audit counts come from the write itself, not from another scan.
     """
     audit = []
     for stem, (table_name, schema) in BRONZE_TABLES.items():
         loaded = Observation(table_name)
-        rows = read_landing(spark, landing, stem, schema).observe(loaded, F.count("*").alias("rows"))
+        rows = read_landing(spark, landing, stem, schema, multiline).observe(loaded, F.count("*").alias("rows"))
         rows.write.mode("overwrite").parquet(f"{bronze}/{table_name}")
         audit.append((table_name, loaded.get["rows"]))
     return spark.createDataFrame(audit, _AUDIT)  # one row per table
@@ -66,3 +71,31 @@ def load_bronze(spark: SparkSession, landing: str, bronze: str) -> DataFrame:
 def read_bronze(spark: SparkSession, bronze: str, stem: str) -> DataFrame:
     table_name, schema = BRONZE_TABLES[stem]
     return spark.read.schema(schema).parquet(f"{bronze}/{table_name}")
+
+
+@dataclass(frozen=True)
+class LoadedBronze:
+    """The bronze tables under a folder that `load_bronze` filled."""
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def suppliers(self) -> DataFrame:
+        return read_bronze(self.spark, self.root, "suppliers")
+
+    @property
+    def headers(self) -> DataFrame:
+        return read_bronze(self.spark, self.root, "po_headers")
+
+    @property
+    def items(self) -> DataFrame:
+        return read_bronze(self.spark, self.root, "po_items")
+
+    @property
+    def answer_key(self) -> DataFrame:
+        return read_bronze(self.spark, self.root, "corruption_log")
+
+    @cached_property
+    def hot_item_pos(self) -> list[HotKey]:
+        return find_hot_keys(self.items, "po_id")["po_id"]

@@ -9,7 +9,8 @@ import pytest
 from ledgersieve.datagen.inject import Bronze
 from ledgersieve.datagen.synth import SyntheticOrders
 from ledgersieve.operators.checks import ChecksFailed, run_checks
-from ledgersieve.plans.build import run
+from ledgersieve.plans import build
+from ledgersieve.plans.build import RowsUnaccounted, run
 from ledgersieve.plans.checks import silver_checks
 from ledgersieve.plans.monitoring import monitoring_latest
 
@@ -56,10 +57,19 @@ def test_each_run_is_in_the_history_once(finished):
 def test_tables_are_stored_per_layer(spark, finished):
     _, root = finished
     for layer, name in (("quarantine", "po_items"), ("silver", "po_headers"), ("evaluation", "issue_recall"),
+                        ("profiling", "column_profile"), ("profiling", "pattern_checks"), ("monitoring", "row_accounting"),
                         ("test_failures", "stg_po_headers__unique_po_id")):
         assert spark.read.parquet(f"{root}/{layer}/{name}").count() > 0
 
 
+def test_a_lost_row_stops_the_run(spark, finished, tmp_path, monkeypatch):
+    result, _ = finished
+    assert result.accounting.where("unaccounted <> 0").count() == 0
+    monkeypatch.setattr(build, "silver_items", lambda *args: result.layers.silver["po_items"].where("item_no <> 10"))
+    with pytest.raises(RowsUnaccounted, match="po_items"):
+        run(spark, result.layers.bronze, str(tmp_path), datetime(2024, 1, 3))
+
+
 def test_bad_silver_stops_the_run(finished):
     result, _ = finished
     tables = result.layers.checked_tables()

@@ -50,6 +50,16 @@ def test_round_trip_reload_and_listing(spark, tmp_path, rows):
     assert len(files) >= 5 and all(f["bytes"] > 0 and ".csv" in f["path"] for f in files)
 
 
+def test_quoted_line_breaks_survive_a_load(spark, tmp_path, rows):
+    tables = {stem: spark.createDataFrame([("two\nlines",) * len(schema)], schema)
+              for stem, (_, schema) in BRONZE_TABLES.items()}
+    landing, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    write_landing(tables, landing)
+    load_bronze(spark, landing, bronze, multiline=True)
+    for stem, df in tables.items():
+        assert rows(read_bronze(spark, bronze, stem)) == rows(df)
+
+
 def test_replace_and_view(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path))
     store.replace("silver", "t", spark.range(5))
