@@ -37,8 +37,10 @@ COSINE, ITEM_SHARE, ANSWER_SHARE = 0.2, 0.7, 0.5
 # one of the overlapping passages holds at least three quarters of any run of up to PASSAGE words.
 COVERAGE = 0.35
 _PARTS = 16
-# Passages times items that are compared in one step.
-_PAIRS = 1 << 21
+# Passages times items that are compared in one step, and rows or terms whose products are summed in
+# one: few enough that the products stay in a core's cache.
+_PAIRS = 1 << 18
+_STEP = 64
 
 _GAP = np.ones(256, bool)
 _GAP[48:58] = _GAP[65:91] = _GAP[97:123] = _GAP[128:] = False
@@ -165,8 +167,8 @@ class Places:
 def _project(bounds: np.ndarray, term: np.ndarray, values: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """Sparse rows times a dense basis, in steps of bounded size."""
     out = np.zeros((len(bounds) - 1, basis.shape[1]), np.float32)
-    for a in range(0, len(out), 8192):
-        b = min(len(out), a + 8192)
+    for a in range(0, len(out), _STEP):
+        b = min(len(out), a + _STEP)
         cells = slice(bounds[a], bounds[b])
         out[a:b] = np.add.reduceat(values[cells, None] * basis[term[cells]], bounds[a:b] - bounds[a], axis=0)
     return out
@@ -236,9 +238,9 @@ def latent_basis(places: DataFrame, weights: np.ndarray) -> np.ndarray:
                     order = np.argsort(term, kind="stable")
                     start = np.flatnonzero(np.diff(term[order], prepend=-1))
                     row = np.repeat(np.arange(len(rows)), np.diff(bounds))
-                    for i in range(0, len(start), 4096):
-                        chunk = start[i : i + 4096]
-                        cells = order[chunk[0] : start[i + 4096] if i + 4096 < len(start) else None]
+                    for i in range(0, len(start), _STEP):
+                        chunk = start[i : i + _STEP]
+                        cells = order[chunk[0] : start[i + _STEP] if i + _STEP < len(start) else None]
                         total[term[order[chunk]]] += np.add.reduceat(
                             values[cells, None] * rows[row[cells]], chunk - chunk[0], axis=0)
         yield _send(total.astype(np.float32).ravel())
