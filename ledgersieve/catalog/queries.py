@@ -164,10 +164,8 @@ def silver_po_headers(spark, sf_dir):
 
 
 def silver_po_items(spark, sf_dir):
-    b = _bronze(spark, sf_dir).stored()
-    items = staging.stage_items(b.items)
-    bad = quarantine.quarantine_items(quarantine.judge_items(items, _judged(b), b.hot_item_pos))
-    return plain(silver.silver_items(items, bad, silver.hot_record_ids(items, b.hot_item_pos)))
+    b = _bronze(spark, sf_dir)
+    return plain(silver.judged_silver_items(staging.stage_items(b.items), _judged(b), b.hot_item_pos))
 
 
 # --- checks ----------------------------------------------------------------------------

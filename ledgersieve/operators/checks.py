@@ -8,7 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgersieve.operators.skew import HotKey, skew_safe_join
 from ledgersieve.sources.cut import cut
@@ -89,14 +88,17 @@ def failing_rows(check: Check, tables: Tables) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-_COUNTS = StructType([
-    StructField("table_name", StringType()), StructField("check_name", StringType()),
-    StructField("failures", LongType()),
-])
+_COLUMN_KINDS = ("not_null", "accepted_values")
 
 
-def failure_counts(checks: Iterable[Check], tables: Tables) -> DataFrame:
-    """Failures per check. Column checks of one table share a single aggregate."""
+def failure_counts(
+    checks: Iterable[Check], tables: Tables, stored: Mapping[Check, DataFrame] | None = None
+) -> DataFrame:
+    """Failures per check. Column checks of one table share a single aggregate.
+
+    `stored` may hold the failing rows of some checks; those are counted, not found again.
+    """
+    stored = stored or {}
     parts = []
     by_table: dict[str, dict[str, Column]] = {}
 
@@ -114,12 +116,13 @@ def failure_counts(checks: Iterable[Check], tables: Tables) -> DataFrame:
         elif check.kind == "accepted_values":
             outside = F.count_distinct(F.when(~value.isin(*check.values), value))
             by_table.setdefault(check.table, {})[check.label] = outside
-        elif check.kind == "relationships":
+        elif check.kind == "relationships" and check not in stored:
             add(check, _orphan_count(
                 tables[check.table], check.column, tables[check.parent], check.parent_column))
         else:
             weight = F.sum(check.weight) if check.weight else F.count("*")
-            add(check, failing_rows(check, tables).agg(weight.alias("failures")))
+            rows = stored[check] if check in stored else failing_rows(check, tables)
+            add(check, rows.agg(weight.alias("failures")))
     for table, counts in by_table.items():
         one_row = tables[table].agg(*[c.alias(label) for label, c in counts.items()])
         long = one_row.unpivot([], list(counts), "check_name", "failures")
@@ -127,12 +130,14 @@ def failure_counts(checks: Iterable[Check], tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_report(checks: list[Check], tables: Tables) -> DataFrame:
+def check_report(
+    checks: list[Check], tables: Tables, stored: Mapping[Check, DataFrame] | None = None
+) -> DataFrame:
     """table_name, check_name, severity, failures, status (pass, warn or error)."""
     severity = F.create_map(*[
         F.lit(part) for c in checks for part in (f"{c.table}.{c.label}", c.severity)
     ])
-    counted = failure_counts(checks, tables)
+    counted = failure_counts(checks, tables, stored)
     level = F.element_at(severity, F.concat_ws(".", "table_name", "check_name"))
     return counted.withColumn("severity", level).select(
         "table_name", "check_name", "severity", "failures",
@@ -145,19 +150,31 @@ class ChecksFailed(RuntimeError):
 
 
 def run_checks(checks: list[Check], tables: Tables, failures_root: str | None = None) -> DataFrame:
-    """Report all checks, keep the rows behind each failure, then stop on errors."""
-    report = cut(check_report(checks, tables), "check-report")
+    """Report all checks, keep the rows behind each failure, then stop on errors.
+
+    Checks that group or join write their failing rows first and are counted from those, so
+    each is worked out once. Column checks share one aggregate per table, and only those that
+    failed are read again for their rows.
+    """
+    stored = {}
+
+    def keep(check: Check, rows: DataFrame) -> DataFrame:
+        target = f"{failures_root}/{check.table}__{check.label}"
+        rows.write.mode("overwrite").parquet(target)
+        return rows.sparkSession.read.schema(rows.schema).parquet(target)
+
+    if failures_root is not None:
+        stored = {c: keep(c, failing_rows(c, tables)) for c in checks if c.kind not in _COLUMN_KINDS}
+    report = cut(check_report(checks, tables, stored), "check-report")
     failed = {
         (r["table_name"], r["check_name"]): r["severity"]
         for r in report.where("failures > 0").collect()  # at most one row per check
     }
     if failures_root is not None:
         for check in checks:
-            target = f"{failures_root}/{check.table}__{check.label}"
-            rows = failing_rows(check, tables)
-            if (check.table, check.label) not in failed:
-                rows = rows.where(F.lit(False))
-            rows.write.mode("overwrite").parquet(target)
+            if check not in stored:
+                rows = failing_rows(check, tables)
+                keep(check, rows if (check.table, check.label) in failed else rows.where(F.lit(False)))
     errors = sorted(f"{t}.{c}" for (t, c), severity in failed.items() if severity == "error")
     if errors:
         raise ChecksFailed(", ".join(errors))

@@ -81,26 +81,40 @@ def row_accounting(
 
     Headers are counted by row: a row is a silver PO, an extra copy, or copy 1 of a PO that
     broke a rule. Lines are counted by record_id, plus one for each line without a key;
-    further lines with the same record_id are reported as `repeated`.
+    further lines with the same record_id are reported as `repeated`. The three layers of
+    lines meet in one shuffle, which carries a row per record_id and input split.
     """
-    record = line_key(F.col("po_id"), F.col("item_no"))
-    distinct_records = F.count_distinct("record_id")
-    no_key = F.col("record_id").isNull()
+    def layer(df: DataFrame, record, kind: str, n):
+        return df.select(record.alias("record_id"), F.lit(kind).alias("kind"), n.cast("bigint").alias("n"))
+
+    record, no_key = line_key(F.col("po_id"), F.col("item_no")), F.col("record_id").isNull()
+    lines = reduce(DataFrame.unionByName, [
+        layer(items, record, "staged", F.lit(1)),
+        layer(silver_items, record, "silver", F.lit(1)),
+        # Of a line without a key only the rule that says so is counted.
+        layer(quarantined_items, F.col("record_id"), "quarantined",
+              F.when(F.col("record_id").isNotNull() | (F.col("rule_name") == "missing_key"), 1).otherwise(0)),
+    ])
+    per_record = lines.groupBy("record_id").agg(*[
+        F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k)
+        for k in ("staged", "silver", "quarantined")])
+
+    def records(kind: str):
+        return F.when(no_key, F.col(kind)).otherwise((F.col(kind) > 0).cast("bigint"))
+
     is_copy = F.col("rule_name") == "duplicate_po_id"
     per_po = quarantined_headers.groupBy("record_id").agg(
         (F.count_if(is_copy) + F.max((~is_copy).cast("int"))).alias("n")
     )
-    lines = items.select(record.alias("record_id"))
     parts = [
         ("po_headers", headers.agg(F.count("*").alias("staged"))),
         ("po_headers", silver_headers.agg(F.count("*").alias("silver"))),
         ("po_headers", per_po.agg(F.sum("n").alias("quarantined"))),
-        ("po_items", lines.agg(
-            (distinct_records + F.count_if(no_key)).alias("staged"),
-            (F.count("record_id") - distinct_records).alias("repeated"))),
-        ("po_items", silver_items.select(record.alias("record_id")).agg(distinct_records.alias("silver"))),
-        ("po_items", quarantined_items.agg(
-            (distinct_records + F.count_if(no_key & (F.col("rule_name") == "missing_key"))).alias("quarantined"))),
+        ("po_items", per_record.agg(
+            F.sum(records("staged")).alias("staged"),
+            F.sum(F.col("staged") - records("staged")).alias("repeated"),
+            F.sum(F.when(~no_key, records("silver"))).alias("silver"),
+            F.sum(records("quarantined")).alias("quarantined"))),
     ]
     counts = reduce(DataFrame.unionByName, [
         df.unpivot([], df.columns, "kind", "n").select(F.lit(t).alias("table_name"), "kind", "n") for t, df in parts

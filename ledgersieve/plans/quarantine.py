@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgersieve.functions.convert import line_key
@@ -117,18 +117,22 @@ def judge_items(items: DataFrame, judged: JudgedHeaders, hot_pos: Sequence[HotKe
     return skew_safe_join(items, parents, "po_id", "left", hot_pos)
 
 
+def breaks_a_rule() -> Column:
+    """Whether a judged line broke any rule; never NULL."""
+    return any_broken(ITEM_RULES) | F.expr("coalesce(delivery_date < latest_order, false)")
+
+
 def quarantine_items(judged_items: DataFrame) -> DataFrame:
     """One row per rule a line broke.
 
     A line is reported once per distinct order date of its PO that it precedes: copies of
     a header may disagree on the date.
     """
-    suspect = any_broken(ITEM_RULES) | F.expr("coalesce(delivery_date < latest_order, false)")
     early = F.expr("""transform(filter(order_dates, d -> delivery_date < d), d -> named_struct(
         'rule_name', 'delivery_before_order',
         'reason', 'delivery_date ' || string(delivery_date) || ' is before order_date ' || string(d)))""")
     # Only the few suspects reach the per-date work.
     found = F.concat(findings(ITEM_RULES), F.coalesce(early, no_findings()))
-    return judged_items.where(suspect).select(
+    return judged_items.where(breaks_a_rule()).select(
         F.lit("po_items").alias("table_name"), "record_id", F.inline(found)
     )

@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgersieve.functions.convert import line_key
 from ledgersieve.operators.skew import HotKey, find_hot_keys, skew_safe_join
-from ledgersieve.plans.quarantine import JudgedHeaders
+from ledgersieve.plans.quarantine import JudgedHeaders, breaks_a_rule, judge_items, quarantine_items
+
+
+_ITEM_COLUMNS = ("po_id", "item_no", "description", "quantity", "unit_price", "delivery_date")
 
 
 def silver_headers(judged: JudgedHeaders) -> DataFrame:
@@ -30,7 +34,23 @@ def silver_items(
     keyed = keyed.where(F.col("record_id").isNotNull())
     bad = quarantine.select("record_id").distinct()
     kept = skew_safe_join(keyed, bad, "record_id", "left_anti", hot_records)
-    return kept.select("po_id", "item_no", "description", "quantity", "unit_price", "delivery_date")
+    return kept.select(*_ITEM_COLUMNS)
+
+
+def judged_silver_items(
+    items: DataFrame, judged: JudgedHeaders, hot_pos: Sequence[HotKey] | None = None
+) -> DataFrame:
+    """The same lines when no quarantine is stored: judged once, in one shuffle of the lines.
+
+    The join has placed the lines by po_id, which also places them by line, so the window
+    needs no shuffle of its own. Without a heavy PO no line can be heavy; with one, or when
+    that is unknown, the salted anti-join is used.
+    """
+    lines = judge_items(items, judged, hot_pos)
+    if hot_pos is None or hot_pos:
+        return silver_items(items, quarantine_items(lines), hot_record_ids(items, hot_pos))
+    broken = F.max(breaks_a_rule()).over(W.partitionBy("po_id", "item_no"))
+    return lines.where(F.col("record_id").isNotNull()).withColumn("_broken", broken).where("not _broken").select(*_ITEM_COLUMNS)
 
 
 def hot_record_ids(items: DataFrame, hot_pos: Sequence[HotKey] | None) -> list[HotKey]:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pytest
 
+from ledgersieve.operators.skew import HotKey
 from ledgersieve.plans.monitoring import row_accounting
 from ledgersieve.plans.quarantine import judge_headers, judge_items, quarantine_headers, quarantine_items
-from ledgersieve.plans.silver import silver_headers, silver_items
+from ledgersieve.plans.silver import judged_silver_items, silver_headers, silver_items
 from ledgersieve.plans.staging import stage_headers, stage_items, stage_suppliers
 from ledgersieve.schemas import PO_HEADERS_RAW, PO_ITEMS_RAW, SUPPLIERS_RAW
 
@@ -172,3 +173,14 @@ def test_heavy_keys_give_the_same_rows(spark, rows, hot_at_ten):
     for part in ("bad_headers", "bad_items", "silver_headers", "silver_items"):
         assert rows(getattr(salted, part)) == rows(getattr(plain, part)), part
     assert salted.bad_headers.where("rule_name = 'duplicate_po_id'").count() == 59
+
+
+@pytest.mark.parametrize("hot", [[], None, [HotKey("P1", 3)]])
+def test_silver_from_judged_lines_equals_silver_from_quarantine(spark, rows, hot):
+    headers = [GOOD, ("P2", "S1", None, "EUR", "1"), ("P3", "S1", "2024-01-10", "EUR", "1")]
+    items = [(f"P{1 + i % 4}", str(10 * (i % 9)), "d" if i % 5 else None, "1", "1", f"2024-01-{3 + i % 20:02d}") for i in range(90)]
+    items += [(None, "10", "d", "1", "1", "2024-02-01"), ("P1", "x", "d", "1", "1", "2024-02-01")]
+    items += [("P3", "500", "d", "1", "1", "2024-02-01")] * 2
+    case = Case(spark, headers, items)
+    found = rows(judged_silver_items(case.items, case.judged, hot))
+    assert found and found == rows(case.silver_items)
