@@ -26,14 +26,16 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates.
+    """The document with the least id of each group of near-duplicates; a row without an id only where none has one.
 
-    Rows that share that id are told apart by their text, and one of equal rows stays.
+    Groups are told apart by their root fingerprint, not by ids, which may be NULL or repeated. Rows
+    of a group that share the least id are told apart by their row hash, and one of equal rows stays.
     """
     row = F.xxhash64(*docs.columns)
     own = docs.select(F.col("doc_id").alias("_id"), row.alias("_row"), "text")
-    found = simhash.near_duplicates(own, id_col="_id").where(F.col("_id").eqNullSafe(F.col("component_id")))
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("_id"), F.col("_row"))).alias("_first"))
+    found = simhash.near_duplicates(own, id_col="_id", root_col="_root")
+    least = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_row"))
+    first = found.groupBy("_root").agg(least.alias("_first"))
     first = cut(first.select("_first._id", "_first._row"), "kept")
     # The join shuffles a row hash, and equal rows are told apart by their place in it.
     kept = docs.withColumn("_row", row).join(first, docs["doc_id"].eqNullSafe(first["_id"]) & (row == first["_row"]), "left_semi")

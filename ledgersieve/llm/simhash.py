@@ -194,14 +194,16 @@ def near_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, words: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text",
+    root_col: str | None = None,
 ) -> DataFrame:
     """`docs` with `fingerprint` (signed 64-bit) and `component_id`, the least id its links reach.
 
     Texts without words (NULL, empty, white space) have fingerprint 0 and are linked like any other.
     Rows that share an id are separate rows of the same id. A NULL id is never a component id unless
-    no row of the component has one. Columns other than the text pass through unchanged (`fingerprint`
-    and `component_id` must be free); an empty table gives an empty table.
+    no row of the component has one. With `root_col`, a column of that name tells components apart
+    whatever their ids: it holds one fingerprint of the component. Columns other than the text pass
+    through unchanged (`fingerprint` and `component_id` must be free); an empty table gives an empty table.
     """
     # Fingerprints are stored on their own, so texts are neither shuffled nor hashed twice here.
     marked = cut(fingerprints(docs, words, id_col, text_col).drop(text_col), "fingerprints")
@@ -210,5 +212,6 @@ def near_duplicates(
     roots = least.join(linked, least["fingerprint"] == linked["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = roots.join(named, "root").select("fingerprint", "component_id")
-    return marked.join(labels, "fingerprint").select(*marked.columns, "component_id")
+    added = ["component_id"] + [root_col] * bool(root_col)
+    labels = roots.join(named, "root").withColumn(root_col or "root", F.col("root")).select("fingerprint", *added)
+    return marked.join(labels, "fingerprint").select(*marked.columns, *added)

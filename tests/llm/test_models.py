@@ -119,3 +119,15 @@ def test_pipeline_stages_keep_columns_and_clean_rows(docs_of, spark, tmp_path):
     assert sum("this very line" in t for t in kept.values()) == 1
     pieces = corpus_pipeline.run(spark, sf)
     assert {r.doc_id for r in pieces.collect()} == set(kept)
+
+
+def test_near_duplicates_without_or_with_one_id_keep_unlike_rows(docs_of, spark):
+    import corpus_pipeline
+
+    draw = random.Random(6)
+    texts = [" ".join("".join(draw.choices("abcdefghijklm", k=5)) for _ in range(120)) for _ in range(7)]
+    table = [(i, t) for i, t in zip([None, None, None, 7, 7, 7, 8], texts)]
+    table += [(None, texts[0]), (9, texts[1]), (7, texts[3]), (12, texts[3]), (11, texts[6])]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs_of(table), "")
+    expected = [(None, texts[0]), (9, texts[1]), (None, texts[2]), *[(7, t) for t in texts[3:6]], (8, texts[6])]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(expected, key=repr)
