@@ -20,8 +20,10 @@ SPACE = r"[\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 FEATURES = ("f_length", "f_word", "f_symbol", "f_line", "f_repeat")
-# Least standard deviation of each feature: where nearly all rows agree, rounding is no outlier.
-FLOORS = (0.25, 0.06, 0.04, 0.15, 0.15)
+# Least standard deviation of each feature: where nearly all rows agree, rounding is no outlier. One repeated
+# line in 400 words is 0.05 of f_line, and a run of three words that returns in 120 is 0.05 of f_repeat: few
+# of these are no outlier, but up to what the base rules pass each feature can reach the cutoff alone.
+FLOORS = (0.25, 0.06, 0.04, 0.05, 0.05)
 # Share of a group's rows that the estimate rests on.
 SUPPORT = 0.75
 # Chance of a rejection by distance, were the vectors normal.

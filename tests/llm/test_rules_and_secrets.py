@@ -35,6 +35,21 @@ def test_outliers_go_and_clean_rows_stay(docs_of):
     assert kept == set(range(600))
 
 
+def test_repeated_words_or_lines_alone_make_an_outlier(docs_of):
+    draw = random.Random(7)
+    word = lambda: f"{draw.choice('abcdefgh')}{draw.randrange(1000, 9999)}"
+    prose = lambda n: [word() for _ in range(n)]
+    table = [(i, " ".join(prose(draw.randrange(80, 400))), "en", "a") for i in range(600)]
+    for i in range(20):
+        phrase, lines = " ".join(prose(4)), [" ".join(prose(2)) for _ in range(20)]
+        # About half of the words repeat; then a quarter of the lines do, but hardly a run of three words.
+        table.append((1000 + i, " ".join(f"{phrase} {' '.join(prose(4))}" for _ in range(24)) + " " + " ".join(prose(8)), "en", "a"))
+        table.append((2000 + i, "\n".join(x for line in lines for x in (line, word(), line, word())), "en", "a"))
+    judged = quality_rules(docs_of(table)).collect()
+    assert not any(r.base_failed for r in judged)
+    assert {r.doc_id for r in judged if r.kept} == set(range(600))
+
+
 def test_empty_tables(docs_of, spark, tmp_path):
     assert quality_rules(docs_of([])).count() == 0
     assert secret_ledger.scan(docs_of([]), str(tmp_path / "ledger")).count() == 0
