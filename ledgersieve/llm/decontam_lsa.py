@@ -1,9 +1,11 @@
 """Find benchmark items in documents, copied or paraphrased, by latent semantic retrieval.
 
 Documents are cut into passages. TF-IDF vectors of all passages over the items' terms are reduced by
-a randomised SVD whose products are summed over tasks; items and overlapping passages are compared
-by cosine in the latent space; and each candidate is confirmed by the longest common subsequence of
-its words with the item, for the item as a whole and for its answer.
+a randomised SVD whose products are summed over tasks. A document is a candidate for an item unless
+it holds too few of the item's words in any order, which no window of it can exceed; each candidate is
+confirmed by the longest common subsequence of its words with the item, for the item as a whole and
+for its answer. The cosine in the latent space of items and overlapping passages says where in the
+document a found item is nearest; it drops none.
 
 Texts are read once: what is kept of a document is the places of the items' terms in it, which is all
 that the vectors and the subsequences need. Items are taken in blocks of bounded size, so the term
@@ -31,11 +33,8 @@ PASSAGE, STRIDE = 64, 32
 RANK, OVERSAMPLE, SEED = 64, 8, 11
 # Terms in a larger share of the passages say nothing about an item.
 MAX_SHARE = 0.05
-# Least cosine of a candidate, and least shares of item and answer words in common order.
-COSINE, ITEM_SHARE, ANSWER_SHARE = 0.2, 0.7, 0.5
-# A passage with less of an item's term weight cannot hold the needed share of its words in order:
-# one of the overlapping passages holds at least three quarters of any run of up to PASSAGE words.
-COVERAGE = 0.35
+# Least shares of item and answer words in common order.
+ITEM_SHARE, ANSWER_SHARE = 0.7, 0.5
 _PARTS = 16
 # Passages times items that are compared in one step, and rows or terms whose products are summed in
 # one: few enough that the products stay in a core's cache.
@@ -133,6 +132,11 @@ class Places:
                    np.concatenate(none + [np.cumsum(x, dtype=np.int64) for x in gaps]),
                    np.concatenate(none + [x.astype(np.int64) for x in terms]))
 
+    def take(self, docs: np.ndarray) -> Places:
+        counts = np.diff(self.bounds)[docs]
+        at = ranges(self.bounds[docs], counts)
+        return Places(row_offsets(counts), self.place[at], self.term[at])
+
     def passages(self, stride: int, weights: np.ndarray | None):
         """Sparse rows: document and first word of each passage, row bounds, terms, values.
 
@@ -275,91 +279,132 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
 
 @dataclass
 class Postings:
-    """The items that hold each term, one term after the other, with the term's share of the item's weight."""
+    """The items that hold each term once, twice, …: a level for every term and number of times.
+
+    Levels that many items share are rows of a table; those of the others list their items.
+    """
 
+    base: np.ndarray  # first level of each term, and the end of the last
+    table: np.ndarray
+    row: np.ndarray  # row of a level in the table, or -1
     starts: np.ndarray
     counts: np.ndarray
     item: np.ndarray
-    share: np.ndarray
 
     @classmethod
-    def of(cls, items: Items, weights: np.ndarray) -> Postings:
-        none = [np.zeros(0)]
-        found = [np.unique(s) for s in items.sequences]
-        term = np.concatenate(none + found).astype(np.int64)
-        item = np.repeat(np.arange(len(found)), [len(t) for t in found])
-        share = np.concatenate(none + [weights[t] / max(1e-9, weights[t].sum()) for t in found])
-        order = np.argsort(term, kind="stable")
-        counts = np.bincount(term, minlength=len(weights))
-        return cls(row_offsets(counts)[:-1], counts, item[order], share[order])
-
-    def coverage(self, bounds: np.ndarray, term: np.ndarray, n_items: int) -> np.ndarray:
-        """For each passage (a range of terms) and item, the share of the item's term weight that the passage holds."""
-        n = len(bounds) - 1
-        term = term[bounds[0] : bounds[-1]]
-        counts = self.counts[term]
-        at = ranges(self.starts[term], counts)
-        row = np.repeat(np.arange(n) * n_items, np.add.reduceat(counts, bounds[:-1] - bounds[0]))
-        return np.bincount(row + self.item[at], self.share[at], n * n_items).reshape(n, n_items)
+    def of(cls, items: Items) -> Postings:
+        n = len(items.sequences)
+        none = [np.zeros(0, np.int64)]
+        found = [np.unique(s, return_counts=True) for s in items.sequences]
+        term = np.concatenate(none + [t for t, _ in found])
+        times = np.concatenate(none + [c for _, c in found])
+        most = np.zeros(len(items.terms), np.int64)
+        np.maximum.at(most, term, times)
+        base = row_offsets(most)
+        level = ranges(base[term], times)
+        item = np.repeat(np.repeat(np.arange(n), [len(t) for t, _ in found]), times)
+        order = np.argsort(level, kind="stable")
+        level, item = level[order], item[order]
+        counts = np.bincount(level, minlength=base[-1])
+        starts = row_offsets(counts)[:-1]
+        many = 16 * counts >= n
+        row = np.where(many, np.cumsum(many) - 1, -1)
+        table = np.zeros((int(many.sum()), n), np.float32)
+        table[row[level[many[level]]], item[many[level]]] = 1
+        return cls(base, table, row, starts, np.where(many, 0, counts), item)
+
+    def held(self, found: Places, a: int, b: int) -> np.ndarray:
+        """For documents a to b and each item, how many of the item's words the document holds, in any order."""
+        n, size = self.table.shape[1], len(self.base)
+        cells = slice(found.bounds[a], found.bounds[b])
+        doc = np.repeat(np.arange(b - a), np.diff(found.bounds[a : b + 1]))
+        key, times = np.unique(doc * size + found.term[cells], return_counts=True)
+        doc, term = key // size, key % size
+        times = np.minimum(times, self.base[term + 1] - self.base[term])
+        level, doc = ranges(self.base[term], times), np.repeat(doc, times)
+        common = self.row[level] >= 0
+        dense = np.zeros((b - a, len(self.table)), np.float32)
+        dense[doc[common], self.row[level[common]]] = 1
+        counts = self.counts[level]
+        at = ranges(self.starts[level], counts)
+        rare = np.bincount(np.repeat(doc * n, counts) + self.item[at], minlength=(b - a) * n)
+        return dense @ self.table + rare.reshape(b - a, n)
+
+
+def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray) -> tuple[float, list[tuple[int, float]]] | None:
+    """The largest share of the item in order around a passage of document d, and (start, answer share) of the passages that have it."""
+    cells = slice(found.bounds[d], found.bounds[d + 1])
+    place, term = found.place[cells], found.term[cells]
+    kinds, times = np.unique(item, return_counts=True)
+    code = np.minimum(np.searchsorted(kinds, term), len(kinds) - 1)
+    mine = kinds[code] == term
+    own_place, own_term, code = place[mine], term[mine], code[mine]
+    starts = np.arange(0, int(place[-1]) + 1, STRIDE)
+    reach = max(STRIDE, len(item))
+    edges = np.searchsorted(own_place, [starts - reach, starts + PASSAGE + reach])
+    most, at, last, share = 0.0, [], None, 0.0
+    for i in np.flatnonzero((edges[1] - edges[0]) / len(item) >= ITEM_SHARE).tolist():
+        a, b = window = edges[0, i], edges[1, i]
+        if window != last:
+            last = window
+            share = np.minimum(np.bincount(code[a:b], minlength=len(kinds)), times).sum() / len(item)
+            if share >= ITEM_SHARE:
+                share = common_words(item, own_term[a:b]) / len(item)
+        if share >= ITEM_SHARE and share >= most:
+            a, b = np.searchsorted(place, [starts[i] - reach, starts[i] + PASSAGE + reach])
+            tail = common_words(answer, term[a:b]) / len(answer) if len(answer) else 1.0
+            if tail >= ANSWER_SHARE:
+                at = at if share == most else []
+                most = share
+                at.append((int(starts[i]), tail))
+    return (most, at) if at else None
 
 
 def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray, id_type: str, item_type: str) -> DataFrame:
-    tfidf = np.zeros((len(items.ids), basis.shape[1]), np.float32)
-    for k, sequence in enumerate(items.sequences):
+    # A passage cannot hold an item longer than itself, so each part of such an item has a direction of its own.
+    parts = [(k, x) for k, s in enumerate(items.sequences) if len(s) for x in np.array_split(s, -(-len(s) // PASSAGE))]
+    latent = np.zeros((len(parts), basis.shape[1]), np.float32)
+    for k, (_, sequence) in enumerate(parts):
         term, count = np.unique(sequence, return_counts=True)
-        tfidf[k] = ((1 + np.log(count)) * weights[term]) @ basis[term]
-    norm = np.linalg.norm(tfidf, axis=1)
-    queries = tfidf / np.maximum(norm, 1e-9)[:, None]
-    # An item of frequent terms only, or shorter than a few words, has no direction to be found by.
-    silent = np.flatnonzero((norm < 1e-6) & (np.array([len(s) for s in items.sequences]) > 0))
-    shared = places.sparkSession.sparkContext.broadcast(
-        (items, weights, basis, queries, silent, Postings.of(items, weights)))
+        latent[k] = ((1 + np.log(count)) * weights[term]) @ basis[term]
+    queries = latent / np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
+    words = np.array([len(s) for s in items.sequences])
+    first = row_offsets(-(-words // PASSAGE))
+    shared = places.sparkSession.sparkContext.broadcast((items, weights, basis, queries, first, words, Postings.of(items)))
     step = max(1, _PAIRS // max(1, len(items.ids)))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, w, b, q, quiet, postings = shared.value
+        own, w, b, q, parts_of, n_words, postings = shared.value
         for batch in batches:
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
                 found = Places.of(part)
-                doc, start, bounds, term, values = found.passages(STRIDE, w)
-                pairs: dict[tuple[int, int], list] = {}
-                if len(doc):
-                    rows = _project(bounds, term, values, b)
-                    rows /= np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
-                    for i in range(0, len(rows), step):
-                        near = rows[i : i + step] @ q.T
-                        held = postings.coverage(bounds[i : i + len(near) + 1], term, len(q))
-                        for r, k in np.argwhere((near >= COSINE) & (held >= COVERAGE)).tolist():
-                            pairs.setdefault((int(doc[i + r]), k), []).append((int(start[i + r]), float(near[r, k])))
-                for d in range(part.num_rows) if len(quiet) else ():
-                    for k in quiet:
-                        pairs[d, int(k)] = [(s, 0.0) for s in range(0, int(found.place[found.bounds[d + 1] - 1]) + 1, STRIDE)]
-                yield _confirmed(part, found, pairs, own)
+                pairs: dict[tuple[int, int], tuple] = {}
+                for i in range(0, part.num_rows, step):
+                    held = postings.held(found, i, min(i + step, part.num_rows))
+                    able = (held / np.maximum(n_words, 1) >= ITEM_SHARE) & (n_words > 0)
+                    for d, k in np.argwhere(able).tolist():
+                        best = _confirmed(found, i + d, own.sequences[k], own.answers[k])
+                        if best:
+                            pairs[i + d, k] = best
+                docs = np.unique(np.array([d for d, _ in pairs], np.int64))
+                doc, start, bounds, term, values = found.take(docs).passages(STRIDE, w)
+                rows = _project(bounds, term, values, b) if len(doc) else np.zeros((0, b.shape[1]), np.float32)
+                rows /= np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
+                at = {x: r for r, x in enumerate(zip(docs[doc].tolist(), start.tolist()))}
+                ids, hashes = part["id"].to_pylist(), part["text_hash"].to_pylist()
+                out = []
+                for (d, k), (share, places_) in sorted(pairs.items()):
+                    near = q[parts_of[k] : parts_of[k + 1]]
+                    # The first of those nearest; a passage without rare terms has no direction.
+                    cosine, back, tail = max(
+                        (float((near @ rows[at[d, s]]).max()) if (d, s) in at else 0.0, -s, tail) for s, tail in places_)
+                    out.append((ids[d], hashes[d], own.ids[k], cosine, share, tail, -back))
+                columns = list(zip(*out)) or [[]] * 7
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_HIT_NAMES)
 
     kinds = [pa.int64() if t == "bigint" else pa.int32() if t == "int" else pa.string() for t in (id_type, item_type)]
-
-    def _confirmed(part, found, pairs, own) -> pa.RecordBatch:
-        ids, hashes = part["id"].to_pylist(), part["text_hash"].to_pylist()
-        out = []
-        for (d, k), hits in sorted(pairs.items()):
-            item, answer = own.sequences[k], own.answers[k]
-            place = found.place[found.bounds[d] : found.bounds[d + 1]]
-            term = found.term[found.bounds[d] : found.bounds[d + 1]]
-            best = None
-            for start, cosine in hits:
-                reach = max(STRIDE, len(item))
-                a, b = np.searchsorted(place, [start - reach, start + PASSAGE + reach])
-                share = common_words(item, term[a:b]) / len(item)
-                if share >= ITEM_SHARE and (best is None or share > best[1]):
-                    tail = common_words(answer, term[a:b]) / len(answer) if len(answer) else 1.0
-                    if tail >= ANSWER_SHARE:
-                        best = (cosine, share, tail, start)
-            if best:
-                out.append((ids[d], hashes[d], own.ids[k], *best))
-        columns = list(zip(*out)) or [[]] * 7
-        types = [kinds[0], pa.int64(), kinds[1], pa.float64(), pa.float64(), pa.float64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_HIT_NAMES)
+    types = [kinds[0], pa.int64(), kinds[1], pa.float64(), pa.float64(), pa.float64(), pa.int64()]
 
     return places.mapInArrow(
         look, f"id {id_type}, text_hash bigint, item_id {item_type}, cosine double, item_share double, "
@@ -390,8 +435,8 @@ def find_items(
 ) -> DataFrame:
     """One row per document row and item found in it: id, text_hash, item_id, cosine, item_share, answer_share, near_word.
 
-    NULL, empty and blank texts hold no item; an item without words is never found; an item without
-    rare terms is compared with every passage. Rows that repeat are reported each. A NULL id or item
+    NULL, empty and blank texts hold no item; an item without words is never found. Every document and
+    item that the word shares accept is found, whatever their cosine. Rows that repeat are reported each. A NULL id or item
     id stays. Other columns are not read. An empty table on either side gives no rows.
     """
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()

@@ -97,6 +97,24 @@ def test_items_are_found_copied_or_edited(docs_of, awkward, spark):
     assert decontam_lsa.find_items(docs_of([]), benchmark).count() == 0
 
 
+def test_long_items_and_rewritten_rare_words_are_found(docs_of, spark):
+    draw = random.Random(10)
+    rare = lambda: "".join(draw.choices("abcdefghijklm", k=6))
+    prose = lambda n: [draw.choice(["the", "of", "and", "to", "in", "is"]) if i % 2 else rare() for i in range(n)]
+    items = [prose(n) for n in (40, 200, 250, 300, 700)]
+    rewritten = []
+    for item in items:
+        copy = list(item)
+        copy[: int(0.6 * len(item)) : 2] = [rare() for _ in copy[: int(0.6 * len(item)) : 2]]  # 30 % of the words, all rare
+        rewritten.append(copy)
+    table = [(i, " ".join(prose(300))) for i in range(60)]
+    for k, copies in enumerate(zip(items, rewritten)):
+        table += [(100 + 10 * k + j, " ".join([*prose(90), *copy, *prose(90)])) for j, copy in enumerate(copies)]
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    found = {(r.id, r.item_id) for r in decontam_lsa.find_items(docs_of(table), benchmark).collect()}
+    assert found == {(100 + 10 * k + j, k) for k in range(len(items)) for j in range(2)}
+
+
 def test_pipeline_stages_keep_columns_and_clean_rows(docs_of, spark, tmp_path):
     import corpus_pipeline
 
