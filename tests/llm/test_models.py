@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgersieve.llm import decontam_lsa, html_mss, langid, quality_mil
@@ -28,6 +29,18 @@ def test_languages_of_held_out_and_awkward_rows(docs_of, awkward):
     assert [r.lang_pred for r in langid.identify(docs_of([(1, "abc")]), none).collect()] == ["und"]
 
 
+def test_model_keeps_every_gram_whatever_the_number_of_languages(docs_of):
+    draw = random.Random(8)
+    texts = ["".join(chr(0x4E00 + draw.randrange(40)) for _ in range(2000)) for _ in range(30)]
+    table = [(i, t, "zz") for i, t in enumerate(texts)] + [(100 + i, text(draw, "aa", 3), f"l{i:03}") for i in range(300)]
+    model = langid.fit(docs_of([(*r, None) for r in table]).withColumnRenamed("doc_id", "id"))
+    codes, counts = np.unique(langid.grams(texts)[0], return_counts=True)
+    assert (counts == 1).any()
+    kept, expected = model.models[model.languages.index("zz")], langid.KneserNey(codes, counts)
+    for a, b in zip(kept.levels, expected.levels):
+        assert np.array_equal(a.grams, b.grams) and np.allclose(a.logp, b.logp)
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     import numpy as np
 
