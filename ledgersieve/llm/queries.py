@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ledgersieve.llm import line_dedup as lines
 from ledgersieve.llm import (
-    decontam_lsa, html_mss, langid, outlier_rules, packing, quality_mil, rlz_dedup, secret_ledger, simhash,
+    decontam_lsa, html_mss, langid, license_markup, outlier_rules, packing, quality_mil, resampling, rlz_dedup,
+    secret_ledger, simhash, whitening,
 )
 from ledgersieve.sources.cut import new_folder
 
@@ -86,6 +87,31 @@ def op10_secret_ledger(spark, sf_dir):
         f"sha2({listed.format(base)}, 256) as base_sha256", f"{listed.format('findings')} as spans")
 
 
+def op11_license_markup(spark, sf_dir):
+    found = license_markup.scan(_docs(spark, sf_dir))
+    starts = "transform(phrases, x -> x.start)"
+    return found.selectExpr(
+        "doc_id", "n_words", "cast(size(phrases) as bigint) as n_base", f"array_min({starts}) as first_word",
+        f"array_max({starts}) as last_word",
+        "array_join(array_sort(array_distinct(transform(phrases, x -> x.label))), ',') as base_labels",
+        "array_join(labels, ',') as labels", "score")
+
+
+def op12_cholesky_whitening(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    rows, model = whitening.whiten(vectors)
+    explained = F.array(*[F.lit(float(x)) for x in model.explained])
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation",
+        "whitened", F.element_at(explained, F.col("place") + 1).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"))
+
+
+def op13_target_resampling(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
+    return resampling.resample(_docs(spark, sf_dir), benchmark).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
     "op2_html_mss": op2_html_mss,
@@ -97,6 +123,9 @@ QUERIES = {
     "op8_decontam_lsa": op8_decontam_lsa,
     "op9_outlier_rules": op9_outlier_rules,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_license_markup": op11_license_markup,
+    "op12_cholesky_whitening": op12_cholesky_whitening,
+    "op13_target_resampling": op13_target_resampling,
 }
 
 _WORDS = r"""list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
