@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from ledgersieve.llm import (
     decontam_lsa, html_mss, langid, license_markup, outlier_rules, packing, quality_mil, resampling, rlz_dedup,
     secret_ledger, simhash, whitening,
 )
+from ledgersieve.llm.license_templates import TEMPLATES
 from ledgersieve.sources.cut import new_folder
 
 
@@ -128,7 +131,28 @@ QUERIES = {
     "op13_target_resampling": op13_target_resampling,
 }
 
+
+def _template_pattern(markup: str) -> str:
+    """License markup as a pattern over lowered words that each end in a space, for the SQL form only."""
+    def plain(text: str) -> str:
+        return "".join(w + " " for w in re.findall("[0-9a-z]+", text.lower()))
+
+    pattern = ""
+    for part in re.split(r"(\[\[|\]\]|\{\{.*?\}\})", markup):
+        if part in ("[[", "]]"):
+            pattern += "(?:" if part == "[[" else ")?"
+        elif part.startswith("{{"):
+            inside = part[2:-2]
+            span = re.fullmatch(r"(\d+)-(\d+)", inside)
+            pattern += f"(?:[^ ]+ ){{{span[1]},{span[2]}}}" if span else f"(?:{'|'.join(map(plain, inside.split('|')))})"
+        else:
+            pattern += plain(part)
+    return pattern
+
+
 _WORDS = r"""list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+_ALNUM = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLE = {
     "op3_rlz_dedup": f"""
@@ -164,4 +188,66 @@ ORACLE = {
                sha256(coalesce(string_agg(line, E'\\n' ORDER BY pos)
                       FILTER (WHERE keeper IS NULL OR keeper = doc_id), '')) AS kept_sha256
         FROM lines LEFT JOIN shared USING (key) GROUP BY doc_id""",
+    "op11_license_markup": f"""
+        WITH words AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+        joined AS (SELECT doc_id, w, array_to_string(list_transform(w, lambda x: x || ' '), '') AS line FROM words),
+        phrases AS (
+            SELECT unnest(['mit license', 'apache license', 'general public license']) AS phrase,
+                   unnest(['mit', 'apache', 'gpl']) AS label),
+        places AS (
+            SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i:
+                       array_to_string(w[i + 1 : i + len(string_split(phrase, ' '))], ' ') = phrase)) AS place
+            FROM joined, phrases WHERE contains(line, phrase)),
+        based AS (
+            SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+                   string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+            FROM places GROUP BY doc_id),
+        templates AS (SELECT unnest($labels$) AS label, unnest($patterns$) AS pattern),
+        accepted AS (
+            SELECT doc_id, label FROM joined, templates WHERE regexp_matches(line, '(?:^| )' || pattern)),
+        labelled AS (
+            SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+            FROM (SELECT doc_id, label FROM accepted UNION ALL SELECT doc_id, label FROM places) AS found GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+               CASE WHEN doc_id IN (SELECT doc_id FROM accepted) THEN 1.0::DOUBLE
+                    WHEN n_base > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
+        FROM joined LEFT JOIN based USING (doc_id) LEFT JOIN labelled USING (doc_id)""".replace(
+            "$labels$", repr([label for label, _, _ in TEMPLATES])).replace(
+            "$patterns$", repr([_template_pattern(markup) for _, _, markup in TEMPLATES])),
+    "op13_target_resampling": f"""
+        WITH words AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+        wanted AS (SELECT unnest({_ALNUM}) AS word FROM benchmark),
+        had AS (SELECT doc_id, unnest(w) AS word FROM words),
+        -- CRC-32 of each distinct word, byte by byte.
+        steps AS (
+            SELECT list(entry ORDER BY n) AS t FROM (
+                SELECT n, list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k:
+                           CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS entry
+                FROM (SELECT unnest(range(256)) AS n) AS numbers) AS entries),
+        hashed AS (
+            SELECT word, xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(range(length(hx) // 2), lambda i:
+                           ('0x' || hx[2 * i + 1 : 2 * i + 2])::BIGINT)),
+                       lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 10000 AS bucket
+            FROM (SELECT word, hex(encode(word)) AS hx FROM (SELECT word FROM had UNION SELECT word FROM wanted) AS u) AS x, steps),
+        s AS (SELECT bucket, count(*) AS s FROM had JOIN hashed USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (word) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM had) + 10000)
+                       / ((s + 1)::DOUBLE * ((SELECT count(*) FROM wanted) + 10000))))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket)),
+        weights AS (
+            SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+            FROM had JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM words LEFT JOIN weights USING (doc_id)),
+        placed AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+            FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (doc_id)""",
 }
