@@ -15,7 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
@@ -31,12 +32,19 @@ _EPS = np.finfo(np.float64).eps / 2
 _LOW = 26
 
 
-def quantised(vector: Column, scale: float = SCALE, offset: int = OFFSET) -> Column:
-    """floor(scale * entry) + offset as whole numbers; NULL where the vector or an entry is missing or not finite."""
-    scaled = F.transform(vector, lambda c: c.cast("double") * F.lit(float(scale)))
-    whole = F.forall(vector, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double")) < F.lit(float("inf"))))
-    bounded = F.transform(scaled, lambda c: F.floor(F.least(F.greatest(c, F.lit(-LARGEST)), F.lit(LARGEST))) + F.lit(offset))
-    return F.when(whole & (F.size(vector) > 0), bounded)
+def quantised(vectors: pa.Array, width: int, scale: float = SCALE, offset: int = OFFSET) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that hold `width` finite entries, and floor(scale * entry) + offset of each."""
+    lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(lengths == width)
+    entries = vectors.take(pa.array(rows)).flatten().cast(pa.float64())
+    entries = entries.to_numpy(zero_copy_only=False).reshape(-1, width)  # a NULL is not a number
+    whole = np.isfinite(entries).all(axis=1)
+    scaled = np.floor(np.clip(entries[whole] * scale, -LARGEST, LARGEST))
+    return rows[whole], scaled.astype(np.int64) + offset
+
+
+def _lists(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()), pa.array(x.ravel()))
 
 
 @dataclass(frozen=True)
@@ -206,15 +214,20 @@ def whiten(
     `deviation` is NULL where it needs more than 63 bits. A NULL id stays, rows that share an id or a
     vector each have their row. Other columns are not read. An empty table gives an empty table.
     """
-    own = vectors.select(F.col(id_col).alias("id"), quantised(F.col(vector_col), scale, offset).alias("x"))
-    own = own.where(F.col("x").isNotNull())
+    def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pc.list_value_length(batch["vector"]).drop_null().unique().to_pylist()
+            for size in sorted(lengths):
+                if size and len(x := quantised(batch["vector"], size, scale, offset)[1]):
+                    yield pa.RecordBatch.from_arrays([_lists(x)], names=["x"])
+
+    own = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     # Equal vectors meet in a map-side aggregate first. Stored, because every pass reads it.
-    fit_list = cut(own.select("x").distinct(), "fit-list")
+    fit_list = cut(own.select("vector").mapInArrow(quantise, "x array<bigint>").distinct(), "fit-list")
     widths = fit_list.groupBy(F.size("x").alias("width")).agg(F.count("*").alias("n"))
     commonest = widths.orderBy(F.desc("n"), F.desc("width")).first()
     width = commonest["width"] if commonest else 1
-    right_width = F.size("x") == width
-    model = fit(fit_list.where(right_width), width, components)
+    model = fit(fit_list.where(F.size("x") == width), width, components)
     schema = StructType([
         StructField(id_col, vectors.schema[id_col].dataType), StructField("deviation", LongType()),
         StructField("whitened", ArrayType(DoubleType()))])
@@ -226,10 +239,10 @@ def whiten(
         centre, project = _Centre.of(model.n, model.sums), _projector(model)
         size = len(model.eigenvalues)
         for batch in batches:
-            x = _rows(batch["x"], width)
+            rows, x = quantised(batch["vector"], width, scale, offset)
             values = pa.array(project(x).ravel(), from_pandas=True)  # not a number: NULL
             yield pa.RecordBatch.from_arrays([
-                batch["id"], pa.array(centre.deviation(x), pa.int64()),
+                batch["id"].take(pa.array(rows)), pa.array(centre.deviation(x), pa.int64()),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, size), pa.int32()), values)], names=names)
 
-    return own.where(right_width).mapInArrow(project_split, schema), model
+    return own.mapInArrow(project_split, schema), model
