@@ -1,6 +1,6 @@
 """Joins that hold when one key owns a large share of the rows.
 
-One exact count per key names the few heavy keys before the join is planned. With
+The few heavy keys are named before the join is planned. With
 none, the join is left to Catalyst and AQE as it is. Otherwise only the heavy keys are
 salted: their rows on the big side are spread by input split, and the matching rows on
 the other side are repeated once per salt. Which keys are named affects only where rows
@@ -33,19 +33,35 @@ def hot_key_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(ROWS_CONF, str(DEFAULT_ROWS)))
 
 
+_SLOTS = 1 << 16
+_SHARE = 10_000
+
+
 def find_hot_keys(df: DataFrame, *columns: str) -> dict[str, list[HotKey]]:
-    """Values (NULL included) of each column that hold at least as many rows as one task should take.
+    """Values (NULL included) of each column that hold more rows than one task should take.
 
-    Counts are exact and combine on the map side; at most one value per `hot_key_rows` rows comes back.
+    That is at least `hot_key_rows` rows and a ten-thousandth of the table. One pass counts the rows
+    of all columns by a hash of the value: a task sends at most `_SLOTS` numbers per column, not a row
+    per value. Only values in a slot that reaches the limit are then counted themselves, so counts
+    are exact and no heavy value is missed; usually there is no such slot and no second pass.
     """
-    rows = max(2, hot_key_rows(df.sparkSession))
-    return {
-        c: [
-            HotKey(found[0], max(2, math.ceil(found[1] / rows)))
-            for found in df.groupBy(c).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= rows).collect()
-        ]
-        for c in columns
-    }
+    least = max(2, hot_key_rows(df.sparkSession))
+
+    def slot(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(_SLOTS)).cast("int")
+
+    slots = F.array(*[F.struct(F.lit(i).alias("place"), slot(c).alias("slot")) for i, c in enumerate(columns)])
+    loads = df.select(F.inline(slots)).groupBy("place", "slot").agg(F.count("*").alias("n"))
+    # One row per column, with at most one slot per `least` rows of the table.
+    full = loads.groupBy("place").agg(F.sum("n").alias("rows"), F.collect_list(F.when(F.col("n") >= least, F.struct("slot", "n"))).alias("full"))
+    hot: dict[str, list[HotKey]] = {c: [] for c in columns}
+    for place, rows, found in full.collect():
+        c, limit = columns[place], max(least, rows // _SHARE)
+        candidates = [s for s, n in found if n >= limit]
+        if candidates:
+            counted = df.where(slot(c).isin(candidates)).groupBy(c).agg(F.count("*").alias("_rows"))
+            hot[c] = [HotKey(value, max(2, math.ceil(n / limit))) for value, n in counted.where(F.col("_rows") >= limit).collect()]
+    return hot
 
 
 def hot_key_frame(

@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgersieve.operators.skew import HotKey, find_hot_keys
 from ledgersieve.schemas import BRONZE_TABLES
+from ledgersieve.sources import tables
 
 # Quotes inside a quoted field are doubled.
 _CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -19,9 +20,9 @@ _CSV = {"header": True, "quote": '"', "escape": '"'}
 _NO_NULL_TEXT = "\u0001"
 
 
-def write_landing(tables: Mapping[str, DataFrame], folder: str, compress: bool = True) -> None:
+def write_landing(sources: Mapping[str, DataFrame], folder: str, compress: bool = True) -> None:
     """One CSV per table, with a header. Large tables become several part files."""
-    for stem, df in tables.items():
+    for stem, df in sources.items():
         writer = df.write.mode("overwrite").options(**_CSV)
         writer.option("compression", "gzip" if compress else "none").csv(f"{folder}/{stem}.csv")
 
@@ -57,20 +58,24 @@ def load_bronze(spark: SparkSession, landing: str, bronze: str, multiline: bool
 
     Set `multiline` when quoted fields hold line breaks (see read_landing).
 
-    The audit counts come from the write itself, not from another scan.
+    The audit counts come from the write itself, not from another scan. No table is replaced before
+    all of them are loaded, so a load that fails leaves the old rows.
     """
-    audit = []
+    audit, versions = [], []
     for stem, (table_name, schema) in BRONZE_TABLES.items():
         loaded = Observation(table_name)
         rows = read_landing(spark, landing, stem, schema, multiline).observe(loaded, F.count("*").alias("rows"))
-        rows.write.mode("overwrite").parquet(f"{bronze}/{table_name}")
+        versions.append(tables.draft(f"{bronze}/{table_name}"))
+        rows.write.parquet(versions[-1])
         audit.append((table_name, loaded.get["rows"]))
+    for version in versions:
+        tables.switch(spark, version)
     return spark.createDataFrame(audit, _AUDIT)  # one row per table
 
 
 def read_bronze(spark: SparkSession, bronze: str, stem: str) -> DataFrame:
     table_name, schema = BRONZE_TABLES[stem]
-    return spark.read.schema(schema).parquet(f"{bronze}/{table_name}")
+    return spark.read.schema(schema).parquet(tables.current(spark, f"{bronze}/{table_name}"))
 
 
 @dataclass(frozen=True)
