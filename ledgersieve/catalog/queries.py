@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -13,7 +14,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampType
 from ledgersieve.datagen import fixtures, inject, synth
 from ledgersieve.operators import checks as c
 from ledgersieve.operators import profiling as p
-from ledgersieve.plans import build, evaluation, monitoring, profiling, quarantine, silver, staging
+from ledgersieve.plans import build, evaluation, monitoring, profiling, quarantine, silver, staging, views
 from ledgersieve.plans import checks as po_checks
 from ledgersieve.schemas import BRONZE_TABLES, CURRENCIES
 from ledgersieve.sources import landing
@@ -24,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FIRST_RUN = datetime(2024, 1, 1)
 SECOND_RUN = datetime(2024, 1, 2)
+THIRD_RUN = datetime(2024, 1, 3)
 SYNTH_SEED = 42
 SYNTH_SUPPLIERS_PER_ORDER = 100
 
@@ -149,10 +151,13 @@ def quarantine_po_headers(spark, sf_dir):
     return quarantine.quarantine_headers(_judged(_bronze(spark, sf_dir)))
 
 
-def quarantine_po_items(spark, sf_dir):
+def _judged_lines(spark: SparkSession, sf_dir: str) -> quarantine.JudgedLines:
     b = _bronze(spark, sf_dir)
-    items = staging.stage_items(b.items)
-    return quarantine.quarantine_items(quarantine.judge_items(items, _judged(b), b.hot_item_pos))
+    return quarantine.judge_lines(staging.stage_items(b.items), _judged(b), b.hot_item_pos)
+
+
+def quarantine_po_items(spark, sf_dir):
+    return quarantine.quarantine_items(_judged_lines(spark, sf_dir))
 
 
 def silver_suppliers(spark, sf_dir):
@@ -164,8 +169,7 @@ def silver_po_headers(spark, sf_dir):
 
 
 def silver_po_items(spark, sf_dir):
-    b = _bronze(spark, sf_dir)
-    return plain(silver.judged_silver_items(staging.stage_items(b.items), _judged(b), b.hot_item_pos))
+    return plain(silver.silver_items(_judged_lines(spark, sf_dir)))
 
 
 # --- checks ----------------------------------------------------------------------------
@@ -197,25 +201,21 @@ def check_custom(spark, sf_dir):
 
 def check_report(spark, sf_dir):
     layers = _layers(spark, sf_dir, *build.SILVER)
-    hot = layers.bronze.hot_item_pos
-    all_checks = po_checks.staging_checks(hot) + po_checks.silver_checks(hot)
-    return c.check_report(all_checks, layers.checked_tables())
+    return c.check_report(layers.staging_checks() + layers.silver_checks(), layers.checked_tables())
 
 
 def stored_failures(spark, sf_dir):
     """Rows kept behind each check of staging and silver."""
     layers = _layers(spark, sf_dir, *build.SILVER)
-    hot = layers.bronze.hot_item_pos
-    checks = po_checks.staging_checks(hot) + po_checks.silver_checks(hot)
-    root = new_folder(spark, "test-failures")
-    c.run_checks(checks, layers.checked_tables(), root)
-    kept = None
-    for check in checks:
-        stored = spark.read.parquet(f"{root}/{check.table}__{check.label}")
-        size = stored.agg(F.count("*").alias("stored_rows")).select(
-            F.lit(check.table).alias("table_name"), F.lit(check.label).alias("check_name"), "stored_rows")
-        kept = size if kept is None else kept.unionByName(size)
-    return kept
+    checks = layers.staging_checks() + layers.silver_checks()
+    store = Warehouse(spark, new_folder(spark, "test-failures"))
+    c.store_failures(checks, layers.checked_tables(), store)
+    names = spark.createDataFrame([(x.table, x.label) for x in checks], "table_name string, check_name string")
+    kept = reduce(DataFrame.unionByName, [
+        c.kept_failures(store, t).select(F.lit(t).alias("table_name"), "check_name") for t in dict.fromkeys(x.table for x in checks)])
+    counted = kept.groupBy("table_name", "check_name").agg(F.count("*").alias("n"))
+    return names.join(counted, ["table_name", "check_name"], "left").select(
+        "table_name", "check_name", F.coalesce("n", F.lit(0)).alias("stored_rows"))
 
 
 # --- evaluation and monitoring ---------------------------------------------------------
@@ -236,14 +236,52 @@ def run_metrics(spark, sf_dir):
     return plain(monitoring.run_metrics(layers.staging, layers.silver, layers.quarantined, FIRST_RUN))
 
 
-def monitoring_latest(spark, sf_dir):
-    """Two runs are appended; the view shows the second."""
+def _history(spark: SparkSession, sf_dir: str, *runs: tuple[datetime, bool]) -> monitoring.RunHistory:
+    """A history of these runs, each an instant and whether it starts the history again."""
     layers = _layers(spark, sf_dir, *build.QUARANTINE, *build.SILVER)
-    history = new_folder(spark, "run-history")
-    for run_at in (FIRST_RUN, SECOND_RUN):
+    history = monitoring.RunHistory(spark, new_folder(spark, "run-history"))
+    for run_at, full_refresh in runs:
         metrics = monitoring.run_metrics(layers.staging, layers.silver, layers.quarantined, run_at)
-        monitoring.append_run(metrics, history, run_at)
-    return plain(monitoring.monitoring_latest(monitoring.read_history(spark, history)))
+        (history.full_refresh if full_refresh else history.append)(metrics, run_at)
+    return history
+
+
+def monitoring_latest(spark, sf_dir):
+    """Two runs are appended; the second is shown."""
+    return plain(_history(spark, sf_dir, (FIRST_RUN, False), (SECOND_RUN, False)).latest())
+
+
+def monitoring_latest_view(spark, sf_dir):
+    """The same by way of a view in the catalogue, read by name; it was made before the second run."""
+    history = _history(spark, sf_dir, (FIRST_RUN, False))
+    name = f"runs_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, name)}'")
+    views.latest_run_view(history, name)
+    layers = _layers(spark, sf_dir, *build.QUARANTINE, *build.SILVER)
+    history.append(monitoring.run_metrics(layers.staging, layers.silver, layers.quarantined, SECOND_RUN), SECOND_RUN)
+    spark.catalog.refreshTable(f"{name}.dq_monitoring_latest")
+    return plain(spark.table(f"{name}.dq_monitoring_latest"))
+
+
+def refreshed_history(spark, sf_dir):
+    """A full refresh starts the history again with the second run; the third is appended."""
+    history = _history(spark, sf_dir, (FIRST_RUN, False), (SECOND_RUN, True), (THIRD_RUN, False))
+    return plain(history.rows().drop("run_id"))
+
+
+def staged_by_view(spark, sf_dir):
+    """Loaded bronze seen through the staging views of the catalogue."""
+    folder, loaded = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    landing.write_landing(_bronze(spark, sf_dir).stored().tables(), folder)
+    landing.load_bronze(spark, folder, loaded)
+    name = f"staging_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, name)}'")
+    views.staging_views(spark, loaded, name)
+    return plain(spark.sql(f"""
+        SELECT h.po_id, h.order_date, h.currency, h.total_amount, s.country, i.n_lines, i.quantity
+        FROM {name}.stg_po_headers h LEFT JOIN {name}.stg_suppliers s ON h.supplier_id = s.supplier_id
+        LEFT JOIN (SELECT po_id, count(*) AS n_lines, sum(quantity) AS quantity FROM {name}.stg_po_items GROUP BY po_id) i
+          ON h.po_id = i.po_id"""))
 
 
 def row_accounting(spark, sf_dir):
@@ -335,14 +373,15 @@ def shipped_before_ordered(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        stg_suppliers, stg_po_headers, stg_po_items,
+        stg_suppliers, stg_po_headers, stg_po_items, staged_by_view,
         load_audit, bronze_from_csv, landed_files,
         load_counts, header_quick_profile, column_profile, pattern_checks, currency_distribution, numeric_spread,
         quarantine_po_headers, quarantine_po_items,
         silver_suppliers, silver_po_headers, silver_po_items,
         check_not_null, check_unique, check_accepted_values, check_relationships, check_custom,
         check_report, stored_failures,
-        issue_recall, rule_precision, run_metrics, monitoring_latest, row_accounting, recall_from_csv,
+        issue_recall, rule_precision, run_metrics, monitoring_latest, monitoring_latest_view, refreshed_history,
+        row_accounting, recall_from_csv,
         answer_key, inject_summary, order_totals,
         synthetic_headers, synthetic_items, seeded_answer_key,
         table_profile, line_value_spread, priority_distribution, repeated_line_keys,

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgersieve.operators.skew import HotKey, skew_safe_join
+from ledgersieve.operators.steps import StepFailed
 from ledgersieve.sources.cut import cut
+from ledgersieve.sources.tables import Warehouse
 
 Tables = Mapping[str, DataFrame]
 
@@ -20,7 +23,7 @@ class Check:
     """kind is not_null, unique, accepted_values, relationships or custom.
 
     A custom check names a function from the tables to failing rows; `weight` says how
-    many failures one such row stands for.
+    many failures one such row stands for. `hot` may give the known heavy values of `column`.
     """
 
     table: str
@@ -33,6 +36,7 @@ class Check:
     rows: Callable[[Tables], DataFrame] | None = None
     weight: str = ""
     name: str = ""
+    hot: tuple[HotKey, ...] | None = None
 
     @property
     def label(self) -> str:
@@ -58,7 +62,7 @@ def accepted_values(df: DataFrame, column: str, values: Iterable[str]) -> DataFr
 
 def relationships(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-    hot: list[HotKey] | None = None,
+    hot: Sequence[HotKey] | None = None,
 ) -> DataFrame:
     """Child rows whose value has no parent row."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
@@ -82,23 +86,14 @@ def failing_rows(check: Check, tables: Tables) -> DataFrame:
     if check.kind == "accepted_values":
         return accepted_values(df, check.column, check.values)
     if check.kind == "relationships":
-        return relationships(df, check.column, tables[check.parent], check.parent_column)
+        return relationships(df, check.column, tables[check.parent], check.parent_column, check.hot)
     if check.kind == "custom":
         return check.rows(tables)
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-_COLUMN_KINDS = ("not_null", "accepted_values")
-
-
-def failure_counts(
-    checks: Iterable[Check], tables: Tables, stored: Mapping[Check, DataFrame] | None = None
-) -> DataFrame:
-    """Failures per check. Column checks of one table share a single aggregate.
-
-    `stored` may hold the failing rows of some checks; those are counted, not found again.
-    """
-    stored = stored or {}
+def failure_counts(checks: Iterable[Check], tables: Tables) -> DataFrame:
+    """Failures per check. Column checks of one table share a single aggregate."""
     parts = []
     by_table: dict[str, dict[str, Column]] = {}
 
@@ -116,13 +111,12 @@ def failure_counts(
         elif check.kind == "accepted_values":
             outside = F.count_distinct(F.when(~value.isin(*check.values), value))
             by_table.setdefault(check.table, {})[check.label] = outside
-        elif check.kind == "relationships" and check not in stored:
+        elif check.kind == "relationships":
             add(check, _orphan_count(
                 tables[check.table], check.column, tables[check.parent], check.parent_column))
         else:
             weight = F.sum(check.weight) if check.weight else F.count("*")
-            rows = stored[check] if check in stored else failing_rows(check, tables)
-            add(check, rows.agg(weight.alias("failures")))
+            add(check, failing_rows(check, tables).agg(weight.alias("failures")))
     for table, counts in by_table.items():
         one_row = tables[table].agg(*[c.alias(label) for label, c in counts.items()])
         long = one_row.unpivot([], list(counts), "check_name", "failures")
@@ -130,14 +124,10 @@ def failure_counts(
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_report(
-    checks: list[Check], tables: Tables, stored: Mapping[Check, DataFrame] | None = None
-) -> DataFrame:
-    """table_name, check_name, severity, failures, status (pass, warn or error)."""
+def _with_status(counted: DataFrame, checks: Sequence[Check]) -> DataFrame:
     severity = F.create_map(*[
         F.lit(part) for c in checks for part in (f"{c.table}.{c.label}", c.severity)
     ])
-    counted = failure_counts(checks, tables, stored)
     level = F.element_at(severity, F.concat_ws(".", "table_name", "check_name"))
     return counted.withColumn("severity", level).select(
         "table_name", "check_name", "severity", "failures",
@@ -145,37 +135,107 @@ def check_report(
     )
 
 
-class ChecksFailed(RuntimeError):
-    """An error-level check has failing rows. The report and the rows are already stored."""
+def check_report(checks: list[Check], tables: Tables) -> DataFrame:
+    """table_name, check_name, severity, failures, status (pass, warn or error)."""
+    return _with_status(failure_counts(checks, tables), checks)
+
+
+# --- one sink for all failing rows -------------------------------------------------------
+
+SINK = "check_name string, failures bigint, row string"
+_LAYER = "test_failures"
 
 
-def run_checks(checks: list[Check], tables: Tables, failures_root: str | None = None) -> DataFrame:
-    """Report all checks, keep the rows behind each failure, then stop on errors.
+def _as_json(df: DataFrame) -> Column:
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
 
-    Checks that group or join write their failing rows first and are counted from those, so
-    each is worked out once. Column checks share one aggregate per table, and only those that
-    failed are read again for their rows.
+
+def tagged_failures(checks: Sequence[Check], tables: Tables) -> DataFrame:
+    """Every failing row of one table's checks: check_name, failures it stands for, and the row as JSON.
+
+    Rows without a value or without a parent are tagged in one pass with every check they fail. Values
+    that occur too often or are not accepted are counted together in another. Checks of their own
+    kind add their rows.
     """
-    stored = {}
-
-    def keep(check: Check, rows: DataFrame) -> DataFrame:
-        target = f"{failures_root}/{check.table}__{check.label}"
-        rows.write.mode("overwrite").parquet(target)
-        return rows.sparkSession.read.schema(rows.schema).parquet(target)
-
-    if failures_root is not None:
-        stored = {c: keep(c, failing_rows(c, tables)) for c in checks if c.kind not in _COLUMN_KINDS}
-    report = cut(check_report(checks, tables, stored), "check-report")
-    failed = {
-        (r["table_name"], r["check_name"]): r["severity"]
-        for r in report.where("failures > 0").collect()  # at most one row per check
-    }
-    if failures_root is not None:
-        for check in checks:
-            if check not in stored:
-                rows = failing_rows(check, tables)
-                keep(check, rows if (check.table, check.label) in failed else rows.where(F.lit(False)))
-    errors = sorted(f"{t}.{c}" for (t, c), severity in failed.items() if severity == "error")
-    if errors:
-        raise ChecksFailed(", ".join(errors))
+    table, parts = checks[0].table, []
+    df = tables[table]
+    rows = [c for c in checks if c.kind in ("not_null", "relationships")]
+    if rows:
+        known, failed = df, []
+        for i, check in enumerate(rows):
+            missing = F.col(check.column).isNull()
+            if check.kind == "relationships":
+                mark = f"_known_{i}"
+                keys = tables[check.parent].select(F.col(check.parent_column).alias(check.column)).distinct()
+                known = skew_safe_join(known, keys.withColumn(mark, F.lit(True)), check.column, "left", check.hot)
+                missing = ~missing & F.col(mark).isNull()
+            failed.append(F.when(missing, F.lit(check.label)))
+        labels = F.array_compact(F.array(*failed))
+        parts.append(known.withColumn("_failed", labels).where(F.size("_failed") > 0).select(
+            F.explode("_failed").alias("check_name"), F.lit(1).cast("bigint").alias("failures"), _as_json(df).alias("row")))
+    valued = [c for c in checks if c.kind in ("unique", "accepted_values")]
+    if valued:
+        outside = {
+            c.label: F.col(c.column).isNotNull() if c.kind == "unique" else ~F.col(c.column).isin(*c.values) for c in valued}
+        pairs = F.array_compact(F.array(*[
+            F.when(outside[c.label], F.struct(F.lit(c.label).alias("check_name"), F.col(c.column).cast("string").alias("value")))
+            for c in valued]))
+        counted = df.select(F.inline(pairs)).groupBy("check_name", "value").agg(F.count("*").alias("n_records"))
+        typed = {c.label: F.col("value").cast(df.schema[c.column].dataType).alias(c.column) for c in valued}
+        text = F.coalesce(*[F.when(F.col("check_name") == label, F.to_json(F.struct(v, "n_records"))) for label, v in typed.items()])
+        repeated = F.col("check_name").isin(*[c.label for c in valued if c.kind == "unique"])
+        parts.append(counted.where(~repeated | (F.col("n_records") > 1)).select(
+            "check_name", F.lit(1).cast("bigint").alias("failures"), text.alias("row")))
+    for check in checks:
+        if check.kind == "custom":
+            own = check.rows(tables)
+            weight = F.col(check.weight).cast("bigint") if check.weight else F.lit(1).cast("bigint")
+            parts.append(own.select(F.lit(check.label).alias("check_name"), weight.alias("failures"), _as_json(own).alias("row")))
+        elif check.kind not in ("not_null", "relationships", "unique", "accepted_values"):
+            raise ValueError(f"unknown check kind {check.kind!r}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def kept_failures(store: Warehouse, table: str) -> DataFrame:
+    """All rows kept for one table, by check."""
+    return store.table(_LAYER, table, StructType.fromDDL(SINK))
+
+
+def read_failures(store: Warehouse, table: str, check_name: str, schema: StructType) -> DataFrame:
+    """The rows kept behind one check, typed as in `schema`; only its own files are read."""
+    kept = kept_failures(store, table).where(F.col("check_name") == check_name)
+    return kept.select(F.from_json("row", schema).alias("r")).select("r.*")
+
+
+class ChecksFailed(StepFailed):
+    """An error-level check has failing rows. The report and the rows are already stored."""
+
+
+def store_failures(checks: Sequence[Check], tables: Tables, store: Warehouse) -> DataFrame:
+    """Keep every failing row, in one write per table, by check; then the report, counted from what was kept."""
+    kept = []
+    for table in dict.fromkeys(c.table for c in checks):
+        found = tagged_failures([c for c in checks if c.table == table], tables)
+        rows = store.replace(_LAYER, table, found, partition_by=["check_name"])
+        kept.append(rows.groupBy("check_name").agg(F.sum("failures").alias("n")).select(F.lit(table).alias("table_name"), "check_name", "n"))
+    found = {(r["table_name"], r["check_name"]): r["n"] for r in reduce(DataFrame.unionByName, kept).collect()}  # one row per check
+    counted = [(c.table, c.label, found.get((c.table, c.label), 0)) for c in checks]
+    spark = kept[0].sparkSession
+    return _with_status(spark.createDataFrame(counted, "table_name string, check_name string, failures bigint"), checks)
+
+
+def run_checks(checks: list[Check], tables: Tables, store: Warehouse | None = None) -> DataFrame:
+    """Report all checks, with a store keep the rows behind each failure, then stop on errors."""
+    report = cut(check_report(checks, tables), "check-report") if store is None else store_failures(checks, tables, store)
+    stop_on_errors(report)
     return report
+
+
+def stop_on_errors(report: DataFrame, *tables: str) -> None:
+    """Fail when an error-level check of these tables (or of any) has failing rows; a report has one row per check."""
+    errors = report.where("status = 'error'")
+    if tables:
+        errors = errors.where(F.col("table_name").isin(*tables))
+    failed = sorted(f"{r['table_name']}.{r['check_name']}" for r in errors.collect())
+    if failed:
+        raise ChecksFailed(", ".join(failed))

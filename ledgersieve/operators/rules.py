@@ -24,10 +24,6 @@ def no_findings() -> Column:
     return F.expr(_NONE)
 
 
-def any_broken(rules: Sequence[Rule]) -> Column:
-    return F.expr(_any_broken(rules))
-
-
 def findings(rules: Sequence[Rule]) -> Column:
     """The broken rules of a row, as (rule_name, reason).
 

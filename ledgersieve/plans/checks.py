@@ -42,7 +42,14 @@ def _early(items: str, headers: str, hot_pos: Sequence[HotKey] | None, tables: T
     return delivered_before_ordered(tables[items], tables[headers], hot_pos)
 
 
-def staging_checks(hot_pos: Sequence[HotKey] | None = None) -> list[Check]:
+def _known(hot: Sequence[HotKey] | None) -> tuple[HotKey, ...] | None:
+    return None if hot is None else tuple(hot)
+
+
+def staging_checks(
+    hot_pos: Sequence[HotKey] | None = None, hot_suppliers: Sequence[HotKey] | None = None
+) -> list[Check]:
+    """`hot_pos` are the heavy PO ids of the lines, `hot_suppliers` the heavy suppliers of the headers, where known."""
     suppliers, headers, items = "stg_suppliers", "stg_po_headers", "stg_po_items"
     return [
         Check(suppliers, "not_null", "supplier_id"),
@@ -52,12 +59,12 @@ def staging_checks(hot_pos: Sequence[HotKey] | None = None) -> list[Check]:
         Check(headers, "not_null", "po_id"),
         Check(headers, "unique", "po_id"),
         Check(headers, "not_null", "supplier_id"),
-        Check(headers, "relationships", "supplier_id", parent=suppliers, parent_column="supplier_id"),
+        Check(headers, "relationships", "supplier_id", parent=suppliers, parent_column="supplier_id", hot=_known(hot_suppliers)),
         Check(headers, "not_null", "order_date"),
         Check(headers, "not_null", "currency"),
         Check(headers, "accepted_values", "currency", values=CURRENCIES),
         Check(items, "not_null", "po_id"),
-        Check(items, "relationships", "po_id", parent=headers, parent_column="po_id"),
+        Check(items, "relationships", "po_id", parent=headers, parent_column="po_id", hot=_known(hot_pos)),
         Check(items, "not_null", "description"),
         Check(items, "not_null", "quantity"),
         Check(items, "custom", name="delivery_before_order", weight="header_copies",
@@ -65,7 +72,9 @@ def staging_checks(hot_pos: Sequence[HotKey] | None = None) -> list[Check]:
     ]
 
 
-def silver_checks(hot_pos: Sequence[HotKey] | None = None) -> list[Check]:
+def silver_checks(
+    hot_pos: Sequence[HotKey] | None = None, hot_suppliers: Sequence[HotKey] | None = None
+) -> list[Check]:
     suppliers, headers, items = "silver_suppliers", "silver_po_headers", "silver_po_items"
     stop = {"severity": "error"}
     return [
@@ -73,11 +82,11 @@ def silver_checks(hot_pos: Sequence[HotKey] | None = None) -> list[Check]:
         Check(suppliers, "not_null", "supplier_id", **stop),
         Check(headers, "unique", "po_id", **stop),
         Check(headers, "not_null", "po_id", **stop),
-        Check(headers, "relationships", "supplier_id", parent=suppliers, parent_column="supplier_id", **stop),
+        Check(headers, "relationships", "supplier_id", parent=suppliers, parent_column="supplier_id", hot=_known(hot_suppliers), **stop),
         Check(headers, "not_null", "order_date", **stop),
         Check(headers, "not_null", "currency", **stop),
         Check(headers, "accepted_values", "currency", values=CURRENCIES, **stop),
-        Check(items, "relationships", "po_id", parent=headers, parent_column="po_id", **stop),
+        Check(items, "relationships", "po_id", parent=headers, parent_column="po_id", hot=_known(hot_pos), **stop),
         Check(items, "not_null", "description", **stop),
         Check(items, "not_null", "quantity", **stop),
         Check(items, "custom", name="silver_delivery_before_order", weight="header_copies",

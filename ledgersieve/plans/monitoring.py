@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
-from datetime import datetime
+from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DateType, DoubleType, LongType, StringType, StructField, StructType, TimestampType,
-)
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
-from ledgersieve.functions.convert import line_key, percent
+from ledgersieve.functions.convert import percent
+from ledgersieve.sources import files, tables
 
-HISTORY = StructType([
+METRICS = StructType([
     StructField("run_at", TimestampType()), StructField("table_name", StringType()),
     StructField("metric", StringType()), StructField("value", LongType()),
-    StructField("pct_of_staging", DoubleType()), StructField("run_date", DateType()),
+    StructField("pct_of_staging", DoubleType()),
 ])
+HISTORY = StructType([*METRICS, StructField("run_id", StringType())])
 
 
 def run_metrics(
@@ -44,33 +46,54 @@ def run_metrics(
     )
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY).parquet(path)
-
-
-def append_run(metrics: DataFrame, path: str, run_at: datetime, full_refresh: bool = False) -> None:
-    """Append one run, by run date. A run instant may be used once, or two runs would merge."""
-    spark = metrics.sparkSession
-    if not full_refresh and _exists(spark, path):
-        # The session casts the instant here as it did when the run was stored; a Python date might differ.
-        if not read_history(spark, path).where(F.col("run_at") == F.lit(run_at).cast("timestamp")).isEmpty():
-            raise ValueError(f"the history already holds a run at {run_at}")
-    dated = metrics.withColumn("run_date", F.to_date("run_at"))
-    mode = "overwrite" if full_refresh else "append"
-    dated.coalesce(1).write.mode(mode).partitionBy("run_date").parquet(path)  # tens of rows
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+@dataclass(frozen=True)
+class RunHistory:
+    """The metric rows of all runs, one folder per run.
 
+    A run is written aside and then given the name of its instant in one step, which fails where the
+    name is taken: of two runs with the same instant, however they overlap, one is refused whole.
+    """
 
-def monitoring_latest(history: DataFrame) -> DataFrame:
-    """The rows of the most recent run."""
-    newest_day = history.agg(F.max("run_date")).scalar()
-    newest = history.agg(F.max("run_at")).scalar()
-    latest = history.where((F.col("run_date") == newest_day) & (F.col("run_at") == newest))
-    return latest.drop("run_date").orderBy("table_name", "metric")
+    spark: SparkSession
+    folder: str
+
+    def version(self) -> str:
+        """The folder that holds the runs."""
+        return tables.current(self.spark, self.folder) if tables.is_versioned(self.spark, self.folder) else f"{self.folder}/v-0"
+
+    def run_id(self, run_at: datetime) -> str:
+        """The instant in UTC; ids sort as the instants do."""
+        instant = F.unix_micros(F.lit(run_at).cast("timestamp"))
+        micros = self.spark.range(1).select(instant.alias("t")).first()["t"]
+        return f"{datetime(1970, 1, 1) + timedelta(microseconds=micros):%Y%m%dT%H%M%S.%f}"
+
+    def append(self, metrics: DataFrame, run_at: datetime) -> None:
+        """Add one run. A run instant may be used once, or two runs would merge."""
+        aside = f"{self.folder}/_run-{uuid.uuid4().hex}"
+        metrics.coalesce(1).write.parquet(aside)  # tens of rows
+        try:
+            files.publish(self.spark, aside, f"{self.version()}/run_id={self.run_id(run_at)}")
+        except files.Taken:
+            files.delete(self.spark, aside)
+            raise ValueError(f"the history already holds a run at {run_at}") from None
+
+    def full_refresh(self, metrics: DataFrame, run_at: datetime) -> None:
+        """Start again with this run alone. Readers see the old runs until the new one is complete."""
+        version = tables.draft(self.folder)
+        metrics.coalesce(1).write.parquet(f"{version}/run_id={self.run_id(run_at)}")
+        tables.switch(self.spark, version)
+
+    def rows(self) -> DataFrame:
+        version = self.version()
+        return self.spark.read.schema(HISTORY).option("basePath", version).parquet(version)
+
+    def latest(self) -> DataFrame:
+        """The rows of the most recent run, found by the names of the folders: no row of another run is read."""
+        version = self.version()
+        runs = [n for n in files.names(self.spark, version) if n.startswith("run_id=")]
+        if not runs:
+            return self.spark.createDataFrame([], METRICS)
+        return self.spark.read.schema(METRICS).parquet(f"{version}/{runs[-1]}").orderBy("table_name", "metric")
 
 
 def row_accounting(
@@ -80,28 +103,25 @@ def row_accounting(
     """Does every staged record land in silver or in quarantine? `unaccounted` must be 0.
 
     Headers are counted by row: a row is a silver PO, an extra copy, or copy 1 of a PO that
-    broke a rule. Lines are counted by record_id, plus one for each line without a key;
-    further lines with the same record_id are reported as `repeated`. The three layers of
-    lines meet in one shuffle, which carries a row per record_id and input split.
+    broke a rule. Lines are counted by record (po_id and item_no), plus one for each line without a
+    key; further lines of the same record are reported as `repeated`. Staged and silver lines are
+    grouped together; where both are placed by PO, without a shuffle. Of the quarantine only its own
+    rows are shuffled.
     """
-    def layer(df: DataFrame, record, kind: str, n):
-        return df.select(record.alias("record_id"), F.lit(kind).alias("kind"), n.cast("bigint").alias("n"))
-
-    record, no_key = line_key(F.col("po_id"), F.col("item_no")), F.col("record_id").isNull()
-    lines = reduce(DataFrame.unionByName, [
-        layer(items, record, "staged", F.lit(1)),
-        layer(silver_items, record, "silver", F.lit(1)),
-        # Of a line without a key only the rule that says so is counted.
-        layer(quarantined_items, F.col("record_id"), "quarantined",
-              F.when(F.col("record_id").isNotNull() | (F.col("rule_name") == "missing_key"), 1).otherwise(0)),
-    ])
-    per_record = lines.groupBy("record_id").agg(*[
-        F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k)
-        for k in ("staged", "silver", "quarantined")])
+    def layer(df: DataFrame, kind: str):
+        return df.select("po_id", "item_no", F.lit(kind).alias("kind"))
+
+    no_key = F.col("po_id").isNull() | F.col("item_no").isNull()
+    per_record = layer(items, "staged").unionByName(layer(silver_items, "silver")).groupBy("po_id", "item_no").agg(
+        F.count_if(F.col("kind") == "staged").alias("staged"), F.count_if(F.col("kind") == "silver").alias("silver"))
 
     def records(kind: str):
         return F.when(no_key, F.col(kind)).otherwise((F.col(kind) > 0).cast("bigint"))
 
+    # Of a line without a key only the rule that says so is counted.
+    bad_lines = quarantined_items.groupBy("record_id").agg(
+        F.when(F.col("record_id").isNull(), F.count_if(F.col("rule_name") == "missing_key")).otherwise(F.lit(1)).alias("n"))
+
     is_copy = F.col("rule_name") == "duplicate_po_id"
     per_po = quarantined_headers.groupBy("record_id").agg(
         (F.count_if(is_copy) + F.max((~is_copy).cast("int"))).alias("n")
@@ -113,8 +133,8 @@ def row_accounting(
         ("po_items", per_record.agg(
             F.sum(records("staged")).alias("staged"),
             F.sum(F.col("staged") - records("staged")).alias("repeated"),
-            F.sum(F.when(~no_key, records("silver"))).alias("silver"),
-            F.sum(records("quarantined")).alias("quarantined"))),
+            F.sum(F.when(~no_key, records("silver"))).alias("silver"))),
+        ("po_items", bad_lines.agg(F.sum("n").alias("quarantined"))),
     ]
     counts = reduce(DataFrame.unionByName, [
         df.unpivot([], df.columns, "kind", "n").select(F.lit(t).alias("table_name"), "kind", "n") for t, df in parts

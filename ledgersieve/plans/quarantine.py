@@ -6,13 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgersieve.functions.convert import line_key
-from ledgersieve.operators.rules import Rule, any_broken, findings, no_findings
-from ledgersieve.operators.skew import HotKey, find_hot_keys, skew_safe_join, unroll
+from ledgersieve.operators.rules import Rule, findings, no_findings
+from ledgersieve.operators.skew import HotKey, find_hot_keys, hot_key_frame, skew_safe_join, unroll
 from ledgersieve.schemas import CURRENCIES
-from ledgersieve.sources.cut import cut
+from ledgersieve.sources.cut import cut, new_folder
+from ledgersieve.sources.tables import write_buckets
 
 _HEADER_COLUMNS = ("po_id", "supplier_id", "order_date_raw", "order_date", "currency", "total_amount")
 # Copy 1 is the smallest by these, NULL last. Every column takes part, so it is the same
@@ -107,32 +109,103 @@ def quarantine_headers(judged: JudgedHeaders) -> DataFrame:
     return unroll(rows, F.lit(0), times, "copy", spread=judged.many_copies).drop("copies", "copy")
 
 
-def judge_items(items: DataFrame, judged: JudgedHeaders, hot_pos: Sequence[HotKey] | None = None) -> DataFrame:
-    """Items with `record_id` and what their PO says about them, from a single join."""
+@dataclass(frozen=True)
+class JudgedLines:
+    """
+    lines       every staged line with `record_id`, `found` (the rules it broke) and `broken`
+                (whether this or another line of its record broke one)
+    placed_by   the columns by whose hash the lines are placed
+    hot         heavy records, whose lines lie in several places
+    """
+
+    lines: DataFrame
+    placed_by: tuple[str, ...]
+    hot: tuple[HotKey, ...] = ()
+
+    def stored(self, folder: str | None = None) -> JudgedLines:
+        """Written as placed, so that whatever reads the lines by PO or by record needs no shuffle."""
+        folder = folder or new_folder(self.lines.sparkSession, "judged-lines")
+        return JudgedLines(write_buckets(self.lines, folder, self.placed_by), self.placed_by, self.hot)
+
+    def staged(self) -> DataFrame:
+        """The lines as staging has them."""
+        return self.lines.drop("record_id", "found", "broken", "_salt")
+
+    def clean(self) -> DataFrame:
+        """Lines with a key none of whose record broke a rule."""
+        kept = self.lines.where(F.col("record_id").isNotNull() & ~F.col("broken"))
+        named = [h for h in self.hot if h.value is not None]
+        if not named:
+            return kept
+        # `broken` was worked out place by place: a heavy record that broke a rule in one is broken in all.
+        heavy = hot_key_frame(kept.sparkSession, named, self.lines.schema["record_id"].dataType, "record_id").drop("_fanout")
+        bad = self.lines.where("broken").join(F.broadcast(heavy), "record_id", "left_semi").select("record_id").distinct()
+        # No more records than heavy keys.
+        return kept.join(F.broadcast(bad), "record_id", "left_anti").select(kept.columns)
+
+
+def judge_lines(items: DataFrame, judged: JudgedHeaders, hot_pos: Sequence[HotKey] | None = None) -> JudgedLines:
+    """Place the lines by PO once, and judge them there.
+
+    The lines of a heavy PO are spread by item number, which keeps a record together; those of a heavy
+    record (and those without a key, if they are many) are spread by input split. `hot_pos` may give
+    the known heavy values of po_id; else they are looked up.
+    """
+    spark = items.sparkSession
+    items = items.withColumn("record_id", line_key(F.col("po_id"), F.col("item_no")))
+    if hot_pos is None:
+        hot_pos = find_hot_keys(items, "po_id")["po_id"]
     parents = judged.pos.select(
         "po_id", "order_dates", F.array_max("order_dates").alias("latest_order"),
         (F.size("found") > 0).alias("parent_broken"), F.lit(True).alias("has_parent"),
     )
-    items = items.withColumn("record_id", line_key(F.col("po_id"), F.col("item_no")))
-    return skew_safe_join(items, parents, "po_id", "left", hot_pos)
-
-
-def breaks_a_rule() -> Column:
-    """Whether a judged line broke any rule; never NULL."""
-    return any_broken(ITEM_RULES) | F.expr("coalesce(delivery_date < latest_order, false)")
-
-
-def quarantine_items(judged_items: DataFrame) -> DataFrame:
-    """One row per rule a line broke.
+    placed_by, hot = ("po_id",), ()
+    if hot_pos:
+        # A record can only be heavy inside a heavy PO.
+        placed_by, hot = ("po_id", "_salt"), tuple(find_hot_keys(items, "record_id")["record_id"])
+        items = _salted(items, hot_pos, hot)
+        pos = F.broadcast(hot_key_frame(spark, hot_pos, items.schema["po_id"].dataType))
+        salts = max(h.fanout for h in (*hot_pos, *hot))
+        last = F.when(F.col("_hot_key").isNull(), F.lit(0)).otherwise(F.lit(salts - 1))
+        parents = parents.join(pos, F.col("po_id") == F.col("_hot_key"), "left").withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), last))).drop("_hot_key", "_fanout")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = items.repartition(parts, *placed_by).join(parents, list(placed_by), "left")
+    lines = lines.withColumn("found", line_findings())
+    broken = F.max(F.size("found") > 0).over(W.partitionBy(*placed_by, "item_no"))
+    lines = lines.withColumn("broken", broken)
+    return JudgedLines(lines.select(*items.columns, "found", "broken"), placed_by, hot)
+
+
+def _salted(items: DataFrame, hot_pos: Sequence[HotKey], hot: Sequence[HotKey]) -> DataFrame:
+    """`items` with `_salt`, 0 outside heavy POs. Both lists hold one key per `hot_key_rows` rows at most."""
+    def listed(keys: Sequence[HotKey], column: str, key: str, fanout: str) -> DataFrame:
+        frame = hot_key_frame(items.sparkSession, keys, items.schema[column].dataType, key)
+        return F.broadcast(frame.withColumnRenamed("_fanout", fanout))
+
+    pos = listed(hot_pos, "po_id", "_hot_po", "_po_fanout")
+    records = listed(hot, "record_id", "_hot_record", "_record_fanout")
+    by_split = F.pmod(F.spark_partition_id(), F.col("_record_fanout"))
+    by_number = F.pmod(F.xxhash64("item_no"), F.col("_po_fanout")).cast("int")
+    salt = F.when(F.col("_po_fanout").isNull(), F.lit(0)).otherwise(F.coalesce(by_split, by_number))
+    salted = items.join(records, F.col("record_id").eqNullSafe(F.col("_hot_record")), "left")
+    salted = salted.join(pos, F.col("po_id").eqNullSafe(F.col("_hot_po")), "left")
+    return salted.select(*items.columns, salt.alias("_salt"))
+
+
+def line_findings() -> Column:
+    """The rules a line broke.
 
     A line is reported once per distinct order date of its PO that it precedes: copies of
     a header may disagree on the date.
     """
-    early = F.expr("""transform(filter(order_dates, d -> delivery_date < d), d -> named_struct(
-        'rule_name', 'delivery_before_order',
-        'reason', 'delivery_date ' || string(delivery_date) || ' is before order_date ' || string(d)))""")
-    # Only the few suspects reach the per-date work.
-    found = F.concat(findings(ITEM_RULES), F.coalesce(early, no_findings()))
-    return judged_items.where(breaks_a_rule()).select(
-        F.lit("po_items").alias("table_name"), "record_id", F.inline(found)
-    )
+    early = F.expr("""if(delivery_date < latest_order, transform(filter(order_dates, d -> delivery_date < d),
+        d -> named_struct('rule_name', 'delivery_before_order',
+            'reason', 'delivery_date ' || string(delivery_date) || ' is before order_date ' || string(d))), NULL)""")
+    return F.concat(findings(ITEM_RULES), F.coalesce(early, no_findings()))
+
+
+def quarantine_items(judged: JudgedLines) -> DataFrame:
+    """One row per rule a line broke."""
+    return judged.lines.where(F.size("found") > 0).select(
+        F.lit("po_items").alias("table_name"), "record_id", F.inline("found"))

@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgersieve.functions.convert import line_key
-from ledgersieve.operators.skew import HotKey, find_hot_keys, skew_safe_join
-from ledgersieve.plans.quarantine import JudgedHeaders, breaks_a_rule, judge_items, quarantine_items
-
-
-_ITEM_COLUMNS = ("po_id", "item_no", "description", "quantity", "unit_price", "delivery_date")
+from ledgersieve.plans.quarantine import JudgedHeaders, JudgedLines
 
 
 def silver_headers(judged: JudgedHeaders) -> DataFrame:
@@ -22,43 +14,14 @@ def silver_headers(judged: JudgedHeaders) -> DataFrame:
     return clean.select("po_id", "supplier_id", "order_date", "currency", "total_amount")
 
 
-def silver_items(
-    items: DataFrame, quarantine: DataFrame, hot_records: Sequence[HotKey] | None = None
-) -> DataFrame:
+def silver_items(judged: JudgedLines) -> DataFrame:
     """Lines whose record_id is in quarantine for no reason.
 
-    An anti-join, not NOT IN: one NULL key in quarantine would make NOT IN unknown for
-    every row, and Spark would broadcast the whole quarantine to evaluate it.
+    Read off the judged lines, which know it of their whole record. NOT IN over the quarantine would
+    be unknown for every row as soon as one key there is NULL, and Spark would broadcast the
+    quarantine to evaluate it.
     """
-    keyed = items.withColumn("record_id", line_key(F.col("po_id"), F.col("item_no")))
-    keyed = keyed.where(F.col("record_id").isNotNull())
-    bad = quarantine.select("record_id").distinct()
-    kept = skew_safe_join(keyed, bad, "record_id", "left_anti", hot_records)
-    return kept.select(*_ITEM_COLUMNS)
-
-
-def judged_silver_items(
-    items: DataFrame, judged: JudgedHeaders, hot_pos: Sequence[HotKey] | None = None
-) -> DataFrame:
-    """The same lines when no quarantine is stored: judged once, in one shuffle of the lines.
-
-    The join has placed the lines by po_id, which also places them by line, so the window
-    needs no shuffle of its own. Without a heavy PO no line can be heavy; with one, or when
-    that is unknown, the salted anti-join is used.
-    """
-    lines = judge_items(items, judged, hot_pos)
-    if hot_pos is None or hot_pos:
-        return silver_items(items, quarantine_items(lines), hot_record_ids(items, hot_pos))
-    broken = F.max(breaks_a_rule()).over(W.partitionBy("po_id", "item_no"))
-    return lines.where(F.col("record_id").isNotNull()).withColumn("_broken", broken).where("not _broken").select(*_ITEM_COLUMNS)
-
-
-def hot_record_ids(items: DataFrame, hot_pos: Sequence[HotKey] | None) -> list[HotKey]:
-    """Heavy record ids. A record can only be heavy inside a heavy PO, so usually no pass is needed."""
-    if hot_pos is not None and not hot_pos:
-        return []
-    keyed = items.select(line_key(F.col("po_id"), F.col("item_no")).alias("record_id"))
-    return find_hot_keys(keyed, "record_id")["record_id"]
+    return judged.clean().select("po_id", "item_no", "description", "quantity", "unit_price", "delivery_date")
 
 
 def silver_suppliers(suppliers: DataFrame) -> DataFrame:

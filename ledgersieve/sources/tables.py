@@ -32,6 +32,10 @@ def current(spark: SparkSession, folder: str) -> str:
     return f"{folder}/{found[0]}"
 
 
+def is_versioned(spark: SparkSession, folder: str) -> bool:
+    return bool(_versions(spark, folder))
+
+
 def draft(folder: str) -> str:
     """A folder for a new version."""
     return f"{folder}/v-{uuid.uuid4().hex}"
@@ -85,7 +89,7 @@ class Warehouse:
         return self.spark.read.schema(schema).option("basePath", version).parquet(version)
 
     def exists(self, layer: str, name: str) -> bool:
-        return bool(_versions(self.spark, self.path(layer, name)))
+        return is_versioned(self.spark, self.path(layer, name))
 
     def table(self, layer: str, name: str, schema: StructType | None = None) -> DataFrame:
         """The current version. A partitioned table that may be empty needs its schema."""
@@ -94,6 +98,17 @@ class Warehouse:
 
 
 def view(name: str, df: DataFrame) -> DataFrame:
-    """Name a query for SQL. It is evaluated anew on every read."""
+    """Name a query for SQL in this session. It is evaluated anew on every read."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def stored_view(spark: SparkSession, name: str, select: str) -> DataFrame:
+    """Name a statement over stored tables in the catalogue, for every session that uses the catalogue."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+    return spark.table(name)
+
+
+def source(spark: SparkSession, folder: str) -> str:
+    """A table's current version as a source in SQL. A view has to be stated again after a new version."""
+    return f"parquet.`{current(spark, folder)}`"

@@ -8,11 +8,14 @@ import pytest
 
 from ledgersieve.datagen.inject import Bronze
 from ledgersieve.datagen.synth import SyntheticOrders
-from ledgersieve.operators.checks import ChecksFailed, run_checks
+from ledgersieve.operators.checks import ChecksFailed, kept_failures, run_checks
+from ledgersieve.operators.steps import Step, StepFailed, StepsFailed, run_steps
 from ledgersieve.plans import build
-from ledgersieve.plans.build import RowsUnaccounted, run
+from ledgersieve.plans.build import run
 from ledgersieve.plans.checks import silver_checks
-from ledgersieve.plans.monitoring import monitoring_latest
+from ledgersieve.plans.monitoring import RunHistory
+from ledgersieve.plans.silver import silver_items, silver_suppliers
+from ledgersieve.sources.tables import Warehouse
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +53,7 @@ def test_rules_find_every_issue_they_cover_and_nothing_else(finished):
 def test_each_run_is_in_the_history_once(finished):
     result, _ = finished
     assert result.history.select("run_at").distinct().count() == 2
-    latest = monitoring_latest(result.history)
+    latest = RunHistory(result.history.sparkSession, f"{finished[1]}/monitoring/run_history").latest()
     assert {r["run_at"] for r in latest.collect()} == {datetime(2024, 1, 2)}
 
 
@@ -58,16 +61,46 @@ def test_tables_are_stored_per_layer(spark, finished):
     _, root = finished
     for layer, name in (("quarantine", "po_items"), ("silver", "po_headers"), ("evaluation", "issue_recall"),
                         ("profiling", "column_profile"), ("profiling", "pattern_checks"), ("monitoring", "row_accounting"),
-                        ("test_failures", "stg_po_headers__unique_po_id")):
-        assert spark.read.parquet(f"{root}/{layer}/{name}").count() > 0
+                        ("test_failures", "stg_po_headers")):
+        assert Warehouse(spark, root).table(layer, name).count() > 0
 
 
 def test_a_lost_row_stops_the_run(spark, finished, tmp_path, monkeypatch):
     result, _ = finished
     assert result.accounting.where("unaccounted <> 0").count() == 0
-    monkeypatch.setattr(build, "silver_items", lambda *args: result.layers.silver["po_items"].where("item_no <> 10"))
-    with pytest.raises(RowsUnaccounted, match="po_items"):
+    monkeypatch.setattr(build, "silver_items", lambda lines: silver_items(lines).where("item_no <> 10"))
+    with pytest.raises(StepsFailed, match="po_items: ") as stopped:
         run(spark, result.layers.bronze, str(tmp_path), datetime(2024, 1, 3))
+    assert set(stopped.value.outcome.failed) == {"accounting"}
+    assert stopped.value.outcome.skipped == {"history": ("accounting",)}
+
+
+def test_a_supplier_error_stops_only_what_needs_suppliers(spark, finished, tmp_path, monkeypatch):
+    result, _ = finished
+    monkeypatch.setattr(build, "silver_suppliers", lambda df: silver_suppliers(df).unionAll(silver_suppliers(df).limit(1)))
+    with pytest.raises(StepsFailed, match="silver_suppliers.unique_supplier_id") as stopped:
+        run(spark, result.layers.bronze, str(tmp_path), datetime(2024, 1, 3))
+    outcome = stopped.value.outcome
+    assert set(outcome.failed) == {"silver.suppliers"} and outcome.skipped == {"history": ("silver.suppliers",)}
+    store = Warehouse(spark, str(tmp_path))
+    assert store.table("silver", "po_items").count() == result.layers.silver["po_items"].count()
+    assert store.table("monitoring", "row_accounting").where("unaccounted <> 0").count() == 0
+    assert store.table("evaluation", "issue_recall").count() == result.recall.count()
+    assert kept_failures(store, "silver_suppliers").count() == 1
+
+
+def test_steps():
+    def fail(done):
+        raise StepFailed("no")
+
+    steps = [Step("a", lambda d: 1), Step("b", fail), Step("c", lambda d: d["a"] + 1, ("a",)), Step("d", fail, ("b", "c")),
+             Step("e", fail, ("d",))]
+    outcome = run_steps(steps)
+    assert (outcome.results, outcome.failed, outcome.skipped) == ({"a": 1, "c": 2}, {"b": "no"}, {"d": ("b",), "e": ("d",)})
+    with pytest.raises(ValueError, match="not listed before"):
+        run_steps([Step("x", fail, ("y",)), Step("y", fail)])
+    with pytest.raises(ZeroDivisionError):  # not a verdict on an output: it ends the run
+        run_steps([Step("x", lambda d: 1 // 0)])
 
 
 def test_bad_silver_stops_the_run(finished):

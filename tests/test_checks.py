@@ -5,7 +5,9 @@ from datetime import date
 import pytest
 
 from ledgersieve.operators import checks as c
+from ledgersieve.operators.skew import HotKey
 from ledgersieve.plans.checks import delivered_before_ordered, silver_checks, staging_checks
+from ledgersieve.sources.tables import Warehouse
 
 
 @pytest.fixture
@@ -34,17 +36,40 @@ def test_counts_agree_with_failing_rows(people):
     assert counts == {check.label: c.failing_rows(check, tables).count() for check in checks}
 
 
-def test_errors_stop_after_everything_is_stored(spark, people, tmp_path):
+def test_errors_stop_after_everything_is_stored(spark, people, tmp_path, rows):
     checks = [
         c.Check("people", "not_null", "country", severity="error"),
         c.Check("people", "unique", "id"), c.Check("people", "not_null", "id"),
         c.Check("people", "accepted_values", "country", values=("DE", "XX", "YY"), severity="error"),
     ]
+    store = Warehouse(spark, str(tmp_path))
     with pytest.raises(c.ChecksFailed, match="people.not_null_country"):
-        c.run_checks(checks, {"people": people}, str(tmp_path))
-    stored = {p.name: spark.read.parquet(str(p)).count() for p in tmp_path.iterdir()}
-    assert stored == {"people__not_null_country": 1, "people__unique_id": 1, "people__not_null_id": 1,
-                      "people__accepted_values_country": 0}
+        c.run_checks(checks, {"people": people}, store)
+    kept = c.kept_failures(store, "people").groupBy("check_name").count()
+    assert rows(kept) == [("not_null_country", 1), ("not_null_id", 1), ("unique_id", 1)]
+
+
+def test_one_sink_holds_what_every_check_finds(spark, people, tmp_path, rows):
+    """Rows come back typed, and are those that each check finds on its own."""
+    parents = spark.createDataFrame([("a", 1.5), ("c", 2.5), ("a", 2.5)], "key string, rate double")
+    checks = [
+        c.Check("people", "not_null", "country"), c.Check("people", "not_null", "id"), c.Check("people", "unique", "id"),
+        c.Check("people", "unique", "country"), c.Check("people", "accepted_values", "country", values=("DE",)),
+        c.Check("people", "relationships", "id", parent="parents", parent_column="key"),
+        c.Check("people", "relationships", "id", name="again", parent="parents", parent_column="key", hot=(HotKey("a", 2),)),
+        c.Check("people", "custom", name="own", rows=lambda t: t["people"].selectExpr("id", "2 AS times"), weight="times"),
+        c.Check("parents", "unique", "rate"), c.Check("parents", "not_null", "rate"),
+    ]
+    tables, store = {"people": people, "parents": parents}, Warehouse(spark, str(tmp_path))
+    report = {(r["table_name"], r["check_name"]): r for r in c.run_checks(checks, tables, store).collect()}
+    for check in checks:
+        found = c.failing_rows(check, tables)
+        assert rows(c.read_failures(store, check.table, check.label, found.schema)) == rows(found), check.label
+        failures = 2 * found.count() if check.weight else found.count()
+        row = report[check.table, check.label]
+        assert (row["failures"], row["status"]) == (failures, "warn" if failures else "pass")
+    plain = {(r["table_name"], r["check_name"]): r for r in c.check_report(checks, tables).collect()}
+    assert plain == report
 
 
 def test_warnings_do_not_stop(people):

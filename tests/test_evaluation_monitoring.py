@@ -3,8 +3,11 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgersieve.plans import evaluation, monitoring
+from ledgersieve.plans.views import latest_run_view
+from ledgersieve.sources import files
 
 KEY = "table_name string, record_id string, issue_type string, detail string, ml_target string"
 BAD = "table_name string, record_id string, rule_name string, reason string"
@@ -65,17 +68,48 @@ def test_metrics(spark, rows):
     ], key=repr)
 
 
-def test_history_is_appended_and_the_latest_run_shown(spark, tmp_path):
-    path = str(tmp_path / "history")
+def test_history_is_appended_and_the_latest_run_shown(spark, tmp_path, rows):
+    history = monitoring.RunHistory(spark, str(tmp_path / "history"))
+    assert history.latest().count() == 0
     first, later = datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 9)
-    monitoring.append_run(metrics(spark, first), path, first)
-    monitoring.append_run(metrics(spark, later, size=6), path, later)
-    history = monitoring.read_history(spark, path)
-    assert history.count() == 8
-    latest = monitoring.monitoring_latest(history)
+    history.append(metrics(spark, later, size=6), later)
+    history.append(metrics(spark, first), first)
+    assert history.rows().count() == 8
+    latest = history.latest()
     assert {r["run_at"] for r in latest.collect()} == {later}
     assert [r["table_name"] for r in latest.collect()] == ["empty", "po", "po", "po"]
+    assert all(history.run_id(later) in f for f in latest.inputFiles())
     with pytest.raises(ValueError, match="already holds"):
-        monitoring.append_run(metrics(spark, later), path, later)
-    monitoring.append_run(metrics(spark, first), path, first, full_refresh=True)
-    assert monitoring.read_history(spark, path).count() == 4
+        history.append(metrics(spark, later), later)
+    assert rows(latest_run_view(history)) == rows(latest)
+    history.full_refresh(metrics(spark, first), first)
+    assert history.rows().count() == 4
+
+
+def test_of_two_runs_at_once_one_is_refused_whole(spark, tmp_path, monkeypatch):
+    """Both runs have written their rows before either gets its name."""
+    history, run_at = monitoring.RunHistory(spark, str(tmp_path)), datetime(2024, 1, 1)
+    publish, between = files.publish, []
+
+    def interleaved(*args):
+        if not between:
+            between.append(True)
+            history.append(metrics(spark, run_at, size=9), run_at)
+        publish(*args)
+
+    monkeypatch.setattr(files, "publish", interleaved)
+    with pytest.raises(ValueError, match="already holds"):
+        history.append(metrics(spark, run_at, size=5), run_at)
+    kept = history.rows().where("metric = 'rows_in_staging' AND table_name = 'po'").collect()
+    assert [r["value"] for r in kept] == [9]
+    assert history.rows().count() == 4
+    assert [n for n in files.names(spark, str(tmp_path)) if n.startswith("_run")] == []
+
+
+def test_readers_keep_the_old_runs_until_a_refresh_is_complete(spark, tmp_path):
+    history, run_at = monitoring.RunHistory(spark, str(tmp_path)), datetime(2024, 1, 1)
+    history.append(metrics(spark, run_at), run_at)
+    broken = metrics(spark, datetime(2024, 1, 2)).withColumn("value", F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        history.full_refresh(broken, datetime(2024, 1, 2))
+    assert {r["run_at"] for r in history.rows().collect()} == {run_at}

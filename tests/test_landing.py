@@ -3,8 +3,10 @@ from __future__ import annotations
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgersieve.schemas import BRONZE_TABLES, CORRUPTION_LOG, SUPPLIERS_RAW
+from ledgersieve.sources import files
 from ledgersieve.sources.cut import CHECKPOINT_CONF, cut, work_folder
 from ledgersieve.sources.landing import landed_files, load_bronze, read_bronze, read_landing, write_landing
 from ledgersieve.sources.tables import Warehouse, view
@@ -60,6 +62,44 @@ def test_quoted_line_breaks_survive_a_load(spark, tmp_path, rows):
         assert rows(read_bronze(spark, bronze, stem)) == rows(df)
 
 
+def test_a_reload_that_stops_half_way_leaves_the_old_rows(spark, tmp_path, rows):
+    tables = {stem: spark.createDataFrame([("old",) * len(schema)], schema) for stem, (_, schema) in BRONZE_TABLES.items()}
+    good, bad, bronze = str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "bronze")
+    write_landing(tables, good)
+    load_bronze(spark, good, bronze)
+    newer = {stem: df.replace("old", "new") for stem, df in tables.items()}
+    write_landing({stem: df for stem, df in newer.items() if stem != "corruption_log"}, bad)
+    (tmp_path / "bad" / "corruption_log.csv").write_text("a,b,c,d,e\none,two\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        load_bronze(spark, bad, bronze)
+    for stem, df in tables.items():
+        assert rows(read_bronze(spark, bronze, stem)) == rows(df)
+
+
+def test_readers_of_the_version_before_are_not_disturbed(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    assert not store.exists("silver", "t")
+    first = store.replace("silver", "t", spark.range(5))
+    with pytest.raises(Exception, match="lost"):
+        store.replace("silver", "t", spark.range(9).select(F.raise_error(F.lit("lost")).alias("id")))
+    assert store.table("silver", "t").count() == 5
+    store.replace("silver", "t", spark.range(3))
+    assert (first.count(), store.table("silver", "t").count()) == (5, 3)
+    folder = store.path("silver", "t")
+    before = len(files.names(spark, folder))
+    store.replace("silver", "t", spark.range(2))
+    assert len(files.names(spark, folder)) == before  # the version before the last is gone
+
+
+def test_a_name_is_given_once(spark, tmp_path):
+    for n in (1, 2):
+        spark.range(n).write.parquet(f"{tmp_path}/_aside{n}")
+    files.publish(spark, f"{tmp_path}/_aside1", f"{tmp_path}/runs/one")
+    with pytest.raises(files.Taken):
+        files.publish(spark, f"{tmp_path}/_aside2", f"{tmp_path}/runs/one")
+    assert spark.read.parquet(f"{tmp_path}/runs/one").count() == 1
+
+
 def test_replace_and_view(spark, tmp_path):
     store = Warehouse(spark, str(tmp_path))
     store.replace("silver", "t", spark.range(5))

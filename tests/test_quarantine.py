@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgersieve.functions.convert import line_key
 from ledgersieve.operators.skew import HotKey
 from ledgersieve.plans.monitoring import row_accounting
-from ledgersieve.plans.quarantine import judge_headers, judge_items, quarantine_headers, quarantine_items
-from ledgersieve.plans.silver import judged_silver_items, silver_headers, silver_items
+from ledgersieve.plans.quarantine import judge_headers, judge_lines, quarantine_headers, quarantine_items
+from ledgersieve.plans.silver import silver_headers, silver_items
 from ledgersieve.plans.staging import stage_headers, stage_items, stage_suppliers
 from ledgersieve.schemas import PO_HEADERS_RAW, PO_ITEMS_RAW, SUPPLIERS_RAW
+from ledgersieve.sources.cut import new_folder
+from ledgersieve.sources.tables import write_buckets
 
 SUPPLIERS = [("S1", "One, Ltd", "DE", "NET30", "2020-01-01"), ("S1", "Again", "DE", "NET30", "bad")]
 GOOD = ("P1", "S1", "2024-01-10", "EUR", "5.00")
@@ -22,10 +26,10 @@ class Case:
         self.items = stage_items(spark.createDataFrame(list(items), PO_ITEMS_RAW))
         self.judged = judge_headers(self.headers, self.suppliers)
         self.bad_headers = quarantine_headers(self.judged)
-        self.judged_items = judge_items(self.items, self.judged)
-        self.bad_items = quarantine_items(self.judged_items)
+        self.lines = judge_lines(self.items, self.judged)
+        self.bad_items = quarantine_items(self.lines)
         self.silver_headers = silver_headers(self.judged)
-        self.silver_items = silver_items(self.items, self.bad_items)
+        self.silver_items = silver_items(self.lines)
 
     def accounting(self):
         table = row_accounting(self.headers, self.items, self.silver_headers, self.silver_items,
@@ -175,12 +179,58 @@ def test_heavy_keys_give_the_same_rows(spark, rows, hot_at_ten):
     assert salted.bad_headers.where("rule_name = 'duplicate_po_id'").count() == 59
 
 
-@pytest.mark.parametrize("hot", [[], None, [HotKey("P1", 3)]])
-def test_silver_from_judged_lines_equals_silver_from_quarantine(spark, rows, hot):
+def not_in_quarantine(case):
+    """Silver as it is defined: lines whose record is not among the quarantined ones."""
+    keyed = case.items.withColumn("record_id", line_key(F.col("po_id"), F.col("item_no"))).where("record_id IS NOT NULL")
+    kept = keyed.join(case.bad_items.select("record_id").distinct(), "record_id", "left_anti")
+    return kept.select(case.silver_items.columns)
+
+
+@pytest.mark.parametrize("stored", [False, True])
+@pytest.mark.parametrize("hot", [[], None, [HotKey("P1", 3)], [HotKey("P1", 2), HotKey(None, 4)]])
+def test_silver_lines_are_those_not_in_quarantine(spark, rows, hot, stored):
     headers = [GOOD, ("P2", "S1", None, "EUR", "1"), ("P3", "S1", "2024-01-10", "EUR", "1")]
     items = [(f"P{1 + i % 4}", str(10 * (i % 9)), "d" if i % 5 else None, "1", "1", f"2024-01-{3 + i % 20:02d}") for i in range(90)]
     items += [(None, "10", "d", "1", "1", "2024-02-01"), ("P1", "x", "d", "1", "1", "2024-02-01")]
     items += [("P3", "500", "d", "1", "1", "2024-02-01")] * 2
     case = Case(spark, headers, items)
-    found = rows(judged_silver_items(case.items, case.judged, hot))
-    assert found and found == rows(case.silver_items)
+    lines = judge_lines(case.items, case.judged, hot)
+    lines = lines.stored() if stored else lines
+    assert rows(silver_items(lines)) == rows(not_in_quarantine(case))
+    assert rows(quarantine_items(lines)) == rows(case.bad_items)
+    assert rows(lines.staged()) == rows(case.items)
+
+
+def test_a_heavy_record_broken_in_one_place_is_broken_in_all(spark, rows, hot_at_ten):
+    items = [("P1", "10", "d", "1", "1", "2024-02-01")] * 60 + [("P1", "10", None, "1", "1", "2024-02-01")]
+    items += [("P1", "20", "d", "1", "1", "2024-02-01")] * 60 + [("P1", str(i), "d", "1", "1", "2024-02-01") for i in range(100, 130)]
+    case = Case(spark, [GOOD], items)
+    assert {h.value for h in case.lines.hot} == {"P1|10", "P1|20"} and case.lines.placed_by == ("po_id", "_salt")
+    assert rows(case.silver_items) == rows(not_in_quarantine(case))
+    assert case.silver_items.count() == 90
+    assert case.accounting()["po_items"]["unaccounted"] == 0
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(po_id")
+
+
+def test_stored_lines_are_read_where_they_lie(spark):
+    """After the one shuffle that places them, nothing shuffles the lines again."""
+    items = [(f"P{i % 7}", str(i), "d" if i % 5 else None, "1", "1", f"2024-01-{3 + i % 20:02d}") for i in range(200)]
+    case = Case(spark, [(f"P{i}", "S1", "2024-01-10", "EUR", "1") for i in range(6)], items)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unstored = judge_lines(case.items, case.judged.stored(), [])
+        plan = unstored.lines._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("REPARTITION_BY_NUM") == 1
+        stored = unstored.stored()
+        for df in (stored.clean(), quarantine_items(stored), stored.lines.groupBy("po_id", "item_no").count()):
+            assert exchanges(df) == 0
+        silver = write_buckets(silver_items(stored), new_folder(spark, "silver"), stored.placed_by)
+        both = stored.staged().select("po_id", "item_no").unionAll(silver.select("po_id", "item_no"))
+        assert exchanges(both.groupBy("po_id", "item_no").count()) == 0
+        parents = case.judged.stored().pos.select("po_id")
+        assert exchanges(silver.join(parents, "po_id", "left_anti")) == 1  # that of the parents
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
