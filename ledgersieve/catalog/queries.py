@@ -141,7 +141,20 @@ def currency_distribution(spark, sf_dir):
 
 
 def numeric_spread(spark, sf_dir):
-    return profiling.numeric_spread(_bronze(spark, sf_dir).items)
+    return profiling.numeric_spread(_bronze(spark, sf_dir).stored().items)
+
+
+def merged_profile(spark, sf_dir):
+    """Profiles of old and new lines are stored apart and merged; estimates are judged by the exact counts."""
+    lines = fixtures.table(spark, sf_dir, "lineitem")
+    store, old = Warehouse(spark, new_folder(spark, "profiles")), F.col("l_shipdate") < "1995-01-01"
+    parts = {"old": lines.where(old), "new": lines.where(~old | old.isNull())}
+    kept = [store.replace("profiling", name, p.profile_sketches({"lineitem": df})) for name, df in parts.items()]
+    merged = p.approximate_profile(p.merge_profiles(*kept))
+    exact = p.column_profile({"lineitem": lines}).select("column_name", F.col("distinct_count").alias("exact"))
+    near = F.abs(F.col("distinct_count") - F.col("exact")) <= F.col("exact") * 0.05
+    return merged.join(exact, "column_name").select(
+        "table_name", "column_name", "total_rows", "null_count", "min_value", "max_value", near.alias("near_exact"))
 
 
 # --- quarantine and silver -------------------------------------------------------------
@@ -376,6 +389,7 @@ QUERIES: dict[str, Query] = {
         stg_suppliers, stg_po_headers, stg_po_items, staged_by_view,
         load_audit, bronze_from_csv, landed_files,
         load_counts, header_quick_profile, column_profile, pattern_checks, currency_distribution, numeric_spread,
+        merged_profile,
         quarantine_po_headers, quarantine_po_items,
         silver_suppliers, silver_po_headers, silver_po_items,
         check_not_null, check_unique, check_accepted_values, check_relationships, check_custom,

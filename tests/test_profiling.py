@@ -1,8 +1,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
-from ledgersieve.operators.profiling import column_profile, frequency, numeric_spread
+from ledgersieve.operators import profiling
+from ledgersieve.operators.profiling import (
+    approximate_profile, column_profile, frequency, merge_profiles, numeric_spread, profile_sketches,
+)
+from ledgersieve.operators.ranking import weighted_positions
 from ledgersieve.plans.profiling import pattern_checks
 from ledgersieve.schemas import PO_HEADERS_RAW, PO_ITEMS_RAW, SUPPLIERS_RAW
 
@@ -29,6 +34,67 @@ def test_spread_matches_interpolated_percentiles(spark):
     assert tuple(got["b"])[1:] == (5.0, 5.0, 5.0, 5.0, 5.0)
 
 
+@pytest.mark.parametrize("few", [1, 50, 100_000])
+@pytest.mark.parametrize("spread", ["skewed", "one value", "two values", "far apart", "single row"])
+def test_selection_finds_exact_ranks(spark, few, spread):
+    """However few values a range may hold, and however the values lie, percentiles are exact."""
+    rng = np.random.default_rng(7)
+    values = {
+        "skewed": np.concatenate([rng.lognormal(3, 2, 3000), np.full(2500, 7.25), -rng.lognormal(1, 1, 40)]),
+        "one value": np.full(500, 3.0), "two values": np.repeat([1.0, 2.0], [499, 501]),
+        "far apart": np.concatenate([rng.normal(0, 1e-9, 900), [1e300, -1e300]]), "single row": np.array([4.5]),
+    }[spread]
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(values)], "v double").repartition(6)
+    points = {"lowest": 0.0, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99, "highest": 1.0}
+    got = numeric_spread(df, ["v"], points, few).first()
+    for name, p in points.items():
+        assert np.isclose(got[name], np.percentile(values, 100 * p), rtol=1e-12), name
+
+
+def test_an_unlucky_sketch_costs_a_pass_and_not_the_result(spark, monkeypatch):
+    values = list(range(2000))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    bounds = profiling._bounds
+
+    def unlucky(numbers, columns, quantiles):
+        return {c: [n, low, high, [3.0, 5.0] * (len(near) // 2)] for c, (n, low, high, near) in bounds(numbers, columns, quantiles).items()}
+
+    monkeypatch.setattr(profiling, "_bounds", unlucky)
+    for few in (10, 100_000):
+        assert numeric_spread(df, ["v"], few=few).first()["p95"] == np.percentile(values, 95)
+
+
+def test_spread_of_a_column_without_numbers(spark):
+    df = spark.createDataFrame([("a", "1"), (None, "2")], "x string, y string")
+    assert [tuple(r) for r in numeric_spread(df, ["x", "y"]).collect()] == [("y", 1.0, 1.5, 1.95, 1.99, 2.0)]
+    assert numeric_spread(df.limit(0), ["x", "y"]).count() == 0
+
+
+def test_values_outside_the_ranges_are_not_shuffled(spark, monkeypatch):
+    df = spark.range(50_000).selectExpr("cast(id as double) v")
+    seen = []
+    monkeypatch.setattr(profiling, "weighted_positions", lambda counted, *args: seen.append(counted.count()) or weighted_positions(counted, *args))
+    assert numeric_spread(df, ["v"], few=500).first()["p50"] == 24999.5
+    assert not seen or max(seen) < 5000
+
+
+def test_merged_profiles_equal_one_profile(spark):
+    df = spark.range(20_000).selectExpr("id", "cast(id % 37 as string) AS s", "if(id % 3 = 0, NULL, id % 1000) AS n", "cast(NULL as int) AS none")
+    parts = [profile_sketches({"t": df.where(f"id % 4 = {i}")}) for i in range(4)]
+    merged = {r["column_name"]: r for r in approximate_profile(merge_profiles(*parts)).collect()}
+    exact = {r["column_name"]: r for r in column_profile({"t": df}).collect()}
+    for c, e in exact.items():
+        m = merged[c].asDict()
+        assert abs(m.pop("distinct_count") - e["distinct_count"]) <= 0.04 * e["distinct_count"]
+        assert m == {k: v for k, v in e.asDict().items() if k != "distinct_count"}
+    assert exact["none"]["distinct_count"] == 0 and exact["n"]["null_count"] == 6667
+
+
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "x string")
+    assert [tuple(r) for r in column_profile({"t": df}).collect()] == [("t", "x", 0, 0, None, 0, None, None)]
+
+
 def test_pattern_checks_on_awkward_rows(spark):
     suppliers = spark.createDataFrame([("S1",) * 5, ("S1",) * 5], SUPPLIERS_RAW)
     headers = spark.createDataFrame([
