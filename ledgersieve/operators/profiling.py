@@ -15,11 +15,6 @@ from ledgersieve.functions.convert import number, percent
 from ledgersieve.operators.ranking import weighted_positions
 
 
-def _long(df: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
-    """One row per column and input row."""
-    return df.select(*columns).unpivot([], list(columns), name, value)
-
-
 # --- column profiles ---------------------------------------------------------------------
 
 # HyperLogLog registers, as a power of two: about 0.8 % standard error.
@@ -28,22 +23,15 @@ PROFILE = """table_name string, column_name string, total_rows bigint, null_coun
     max_value string, sketch binary"""
 
 
-def _as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string") for c in df.columns])
-
-
-def _measures(df: DataFrame, table_name: str, sketches: bool) -> DataFrame:
-    """Rows, nulls, text min and max of every column from one aggregate: a task sends one row."""
-    text = _as_text(df)
-
+def _measures(df: DataFrame, table_name: str) -> DataFrame:
+    """Rows, nulls, text min and max, and a sketch of every column from one aggregate: a task sends one row."""
     def measures(c: str) -> Column:
-        found = [
+        return F.struct(
             F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"), F.count("*").alias("total_rows"),
-            (F.count("*") - F.count(c)).alias("null_count"), F.min(c).alias("min_value"), F.max(c).alias("max_value")]
-        if sketches:
-            found.append(F.hll_sketch_agg(c, SKETCH_BITS).alias("sketch"))
-        return F.struct(*found).alias(c)
+            (F.count("*") - F.count(c)).alias("null_count"), F.min(c).alias("min_value"), F.max(c).alias("max_value"),
+            F.hll_sketch_agg(c, SKETCH_BITS).alias("sketch")).alias(c)
 
+    text = df.select(*[F.col(c).cast("string") for c in df.columns])
     one_row = text.agg(*[measures(c) for c in df.columns])
     return one_row.select(F.inline(F.array(*[F.col(c) for c in df.columns])))
 
@@ -57,27 +45,22 @@ def _named_profile(measured: DataFrame) -> DataFrame:
 def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row, null and distinct counts with text min and max for every column of every table, all exact.
 
-    Only the distinct counts shuffle values: each (column, value) once per task, whatever its rows, so
-    a dominant value costs one row per task. The rest is one narrow aggregate per table.
+    Rows and nulls are one narrow aggregate per table. Distinct values are found column by column in
+    their own type: a scan reads that column alone, each value leaves a task once, whatever its rows,
+    and only distinct values become text. Tables that are costly to make should be stored first.
     """
-    measured, values, codes = [], [], []
+    counted, distinct = [], []
     for table_name, df in tables.items():
-        measured.append(_measures(df, table_name, sketches=False))
-        # A short code stands for table and column while the values are shuffled.
-        own = {c: str(len(codes) + i) for i, c in enumerate(df.columns)}
-        codes += [(code, table_name, c) for c, code in own.items()]
-        text = df.select(*[F.col(c).cast("string").alias(own[c]) for c in df.columns])
-        values.append(_long(text, text.columns, "code", "value"))
-    distinct = reduce(DataFrame.unionByName, values).where(F.col("value").isNotNull()).distinct()
-    counted = distinct.groupBy("code").agg(F.count("*").alias("n"))
-
-    def named(position: int) -> Column:
-        return F.element_at(F.create_map(*[F.lit(v) for n in codes for v in (n[0], n[position])]), F.col("code"))
-
-    counted = counted.select(named(1).alias("table_name"), named(2).alias("column_name"), "n")
+        nulls = df.agg(F.count("*").alias("total_rows"), *[(F.count("*") - F.count(c)).alias(c) for c in df.columns])
+        counted.append(nulls.unpivot(["total_rows"], list(df.columns), "column_name", "null_count").select(
+            F.lit(table_name).alias("table_name"), "column_name", "total_rows", "null_count"))
+        for c in df.columns:
+            values = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct().select(F.col("v").cast("string").alias("v"))
+            distinct.append(values.agg(F.count("*").alias("distinct_count"), F.min("v").alias("min_value"), F.max("v").alias("max_value")).select(
+                F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"), "distinct_count", "min_value", "max_value"))
     # Both sides hold one row per column.
-    joined = reduce(DataFrame.unionByName, measured).join(F.broadcast(counted), ["table_name", "column_name"], "left")
-    return _named_profile(joined.withColumn("distinct_count", F.coalesce("n", F.lit(0).cast("bigint"))))
+    found = F.broadcast(reduce(DataFrame.unionByName, distinct))
+    return _named_profile(reduce(DataFrame.unionByName, counted).join(found, ["table_name", "column_name"]))
 
 
 def profile_sketches(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -85,7 +68,7 @@ def profile_sketches(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     To be stored: profiles of new rows are merged with it later, without reading the old rows again.
     """
-    return reduce(DataFrame.unionByName, [_measures(df, name, sketches=True) for name, df in tables.items()])
+    return reduce(DataFrame.unionByName, [_measures(df, name) for name, df in tables.items()])
 
 
 def merge_profiles(*stored: DataFrame) -> DataFrame:

@@ -6,26 +6,19 @@ checkpoint does not.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-_local_fallback: str | None = None
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names. Only a local session may fall back to its own."""
-    global _local_fallback
+    """The shared folder the cluster names; without it nothing can be stored safely, so there is no other."""
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not folder:
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
-    if _local_fallback is None:
-        _local_fallback = tempfile.mkdtemp(prefix="ledgersieve-")
-    return _local_fallback
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -39,6 +39,12 @@ def test_recall(scored, rows):
     ], key=repr)
 
 
+def test_recall_reduces_the_quarantine_before_it_is_shuffled(scored):
+    plan = evaluation.issue_recall(*scored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(issue_type") < plan.index("LeftSemi")
+    assert "BroadcastHashJoin [_slot" in plan
+
+
 def test_precision_counts_pairs(scored, rows):
     # P1 is logged twice, so its quarantine row pairs twice.
     assert rows(evaluation.rule_precision(*scored)) == [

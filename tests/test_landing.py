@@ -115,3 +115,15 @@ def test_cut_points_go_to_the_folder_the_session_names(spark, rows):
     assert rows(stored) == [(0,), (1,), (2,), (3,)]
     assert all(work_folder(spark) in f for f in stored.inputFiles())
     assert cut(spark.range(0), "none").count() == 0
+
+
+def test_without_a_shared_folder_nothing_is_stored():
+    class Unset:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *args: None)
+
+        class sparkContext:  # noqa: N801
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match=CHECKPOINT_CONF):
+        work_folder(Unset)
