@@ -41,15 +41,18 @@ class WordTokenizer:
     Texts are cut at white space and every distinct word is tokenised once; the ids are then put
     back in place. A-Z are lowered first, and a tail of marks after a letter is a word of its own:
     the tokenizer lowers letters one by one and starts a new match at such a mark, so both leave the
-    ids as they are. At most KNOWN_WORDS words are remembered between calls.
+    ids as they are. A text that holds one of the tokenizer's special marks goes through it whole, as
+    the tokenizer comes. At most KNOWN_WORDS words are remembered between calls.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self._whole = Tokenizer.from_file(path)
+        self._marks = [t.content for t in self._whole.get_added_tokens_decoder().values()]
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = True  # lowering must not make a mark
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -90,9 +93,24 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
+        texts = pc.fill_null(texts, "")
+        marked = np.zeros(len(texts), bool)
+        for mark in self._marks:
+            marked |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        if not marked.any():
+            return self._by_word(texts)
+        rows = np.flatnonzero(marked)
+        ids, counts = self._by_word(pc.if_else(pa.array(marked), "", texts))
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        coded = self._whole.encode_batch_fast([texts[i].as_py() for i in rows.tolist()], add_special_tokens=False)
+        for i, found in zip(rows.tolist(), coded):
+            parts[i] = np.array(found.ids, np.uint32)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+    def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self._row) > KNOWN_WORDS:
             self._forget()
-        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         self._learn([w for w in words if w not in self._row])
@@ -104,6 +122,16 @@ class WordTokenizer:
         return ids.astype(np.uint32, copy=False), np.diff(ends)
 
 
+_coders: dict[str, WordTokenizer] = {}
+
+
+def _coder(path: str) -> WordTokenizer:
+    """One tokenizer for the life of a Python worker, with the words it knows by then."""
+    if path not in _coders:
+        _coders[path] = WordTokenizer(path)
+    return _coders[path]
+
+
 def pack_chunk(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[list[Piece]]:
     """Sequences that hold each token of each document once. Only a power of two or the longest tier fills one."""
     longest = tiers[-1]
@@ -178,7 +206,7 @@ def pack(
     id_type = docs.schema[id_col].dataType
 
     def pack_split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordTokenizer(tokenizer)
+        coder = _coder(tokenizer)
         first = TaskContext.get().partitionId() << 36
         steps = first
         pending: list[tuple] = []

@@ -30,10 +30,12 @@ def test_round_trip_against_whole_text_tokenizer(docs_of, awkward):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(PATH)
-    whole.encode_special_tokens = True
-    out = pack(docs_of(awkward, extra=True), PATH, chunk_tokens=5000).collect()
+    marked = [(30, "a <|endoftext|> b"), (31, "<|startoftext|>x"), (32, "<|ENDOFTEXT|> <|StartOfText|>"), (33, "x<|endoftext|>Y  z"),
+              (34, "a <|endof text|>\n<|startoftext|>\t"), (35, "<|endoftext|>" * 3)]
+    table = awkward + marked
+    out = pack(docs_of(table, extra=True), PATH, chunk_tokens=5000).collect()
     expected = sorted(
-        (str(r[0]), tuple(whole.encode(r[1] or "", add_special_tokens=False).ids + [2])) for r in awkward)
+        (str(r[0]), tuple(whole.encode(r[1] or "", add_special_tokens=False).ids + [2])) for r in table)
     docs, current = [], {}
     for row in sorted(out, key=lambda r: (str(r.doc_id), r.start)):
         ids = np.frombuffer(row.input_ids, "<u4")
