@@ -47,21 +47,25 @@ def line_dedup(
     lines except in the largest id that holds them. NULL and empty texts are one empty line and come
     back as the empty text. Rows that share an id count as one document. A row without an id is not
     counted and is never the one that keeps a line. All other columns pass through unchanged,
-    whatever their names (with `stats`, n_lines and n_dropped must be free). An empty table gives an
-    empty table.
+    whatever their names; with `stats`, input columns n_lines and n_dropped give way to the counts. An
+    empty table gives an empty table.
     """
+    if stats:
+        docs = docs.drop("n_lines", "n_dropped")
+
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, first, second = [], [], []
-            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+            ids, texts, first, second = [], [], [], []
+            for key, text_hash, text in zip(*(batch[c].to_pylist() for c in ("id", "text_hash", "text"))):
                 for digest in {_key(line, min_chars) for line in (text or "").encode().split(b"\n")} - {None}:
                     a, b = _halves(digest)
                     ids.append(key)
+                    texts.append(text_hash)
                     first.append(a)
                     second.append(b)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, batch["id"].type), pa.array(first, pa.int64()), pa.array(second, pa.int64())],
-                names=["id", "h1", "h2"])
+                [pa.array(ids, batch["id"].type), *[pa.array(x, pa.int64()) for x in (texts, first, second)]],
+                names=["id", "text_hash", "h1", "h2"])
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,19 +86,22 @@ def line_dedup(
 
     passed = docs.columns
     id_type = docs.schema[id_col].dataType
-    pairs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        explode, StructType([StructField("id", id_type), StructField("h1", LongType()), StructField("h2", LongType())]))
+    text_hash = F.xxhash64(F.col(text_col))
+    pairs = docs.select(F.col(id_col).alias("id"), text_hash.alias("text_hash"), F.col(text_col).alias("text")).mapInArrow(
+        explode, StructType([StructField("id", id_type), *[StructField(c, LongType()) for c in ("text_hash", "h1", "h2")]]))
     # Stored, so that Spark knows its size, and can split the rows of a hot key in the join.
     common = cut(
         pairs.groupBy("h1", "h2").agg(F.count_distinct("id").alias("n"), F.max("id").alias("keeper"))
         .where(F.col("n") >= min_docs), "lines")
+    # By id and text, so that a list is no longer than one text, however many rows share an id or have none.
     repeated = (
         pairs.join(common, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("keeper")))
-        .groupBy("id").agg(F.collect_set(F.struct("h1", "h2")).alias(_DROP))
-        .withColumnRenamed("id", "__repeated_id")
+        .groupBy("id", "text_hash").agg(F.collect_set(F.struct("h1", "h2")).alias(_DROP))
+        .withColumnsRenamed({"id": "__repeated_id", "text_hash": "__repeated_text"})
     )
     schema = StructType([*docs.schema.fields])
     if stats:
         schema = StructType([*schema.fields, StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
-    joined = docs.join(repeated, docs[id_col].eqNullSafe(repeated["__repeated_id"]), "left").drop("__repeated_id")
+    same = docs[id_col].eqNullSafe(repeated["__repeated_id"]) & (text_hash == repeated["__repeated_text"])
+    joined = docs.join(repeated, same, "left").drop("__repeated_id", "__repeated_text")
     return joined.mapInArrow(rebuild, schema)

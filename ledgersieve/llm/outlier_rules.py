@@ -31,6 +31,7 @@ ALPHA = 1e-7
 # A group with fewer rows is judged by its language, and that by all rows.
 MIN_GROUP = 200
 MAX_STEPS = 8
+SALTS = 64
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
@@ -112,6 +113,13 @@ def _distance() -> Column:
     return sum((v * v for v in y), F.lit(0.0))
 
 
+def _meet(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+    """Join rows with what is known of their group. All rows are dealt by group and `_salt`, so that no
+    task gets more of a large group than one part in SALTS."""
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(salted, ["_key", "_salt"], how)
+
+
 def _start(rows: DataFrame) -> DataFrame:
     """Medians, and spreads from the quartiles, as the first estimate."""
     d = range(len(FEATURES))
@@ -126,18 +134,17 @@ def _start(rows: DataFrame) -> DataFrame:
 
 
 def covariance_estimates(rows: DataFrame) -> DataFrame:
-    """(_key, m*, w*, scale): the estimate of each `_key` of `rows`, a stored table with FEATURES."""
+    """(_key, m*, w*, scale): the estimate of each `_key` of `rows`, a stored table with FEATURES and `_salt`."""
     estimate, total = cut(_start(rows), "mcd"), None
     for _ in range(MAX_STEPS):
-        far = rows.join(estimate, "_key").select("_key", *FEATURES, _distance().alias("_d"))
-        # Stored, so that Spark knows its size, and can split a hot key in the join.
+        far = _meet(rows, estimate).select("_key", "_salt", *FEATURES, _distance().alias("_d"))
         edge = cut(far.groupBy("_key").agg(F.percentile_approx("_d", SUPPORT, 1000).alias("_edge")), "mcd")
-        estimate = cut(_whitened(_moments(far.join(edge, "_key").where("_d <= _edge"))), "mcd")
+        estimate = cut(_whitened(_moments(_meet(far, edge).where("_d <= _edge"))), "mcd")
         last, total = total, estimate.agg(F.sum("logdet")).first()[0]
         if total is None or last is not None and last - total < 1e-3:
             break
     # The closer rows understate the spread: scale so that the median distance is that of a normal.
-    median = rows.join(estimate, "_key").groupBy("_key").agg(F.percentile_approx(_distance(), 0.5, 1000).alias("_m"))
+    median = _meet(rows, estimate).groupBy("_key").agg(F.percentile_approx(_distance(), 0.5, 1000).alias("_m"))
     scale = F.greatest(F.col("_m") / chi_square(0.5, len(FEATURES)), F.lit(1.0)).alias("scale")
     return cut(estimate.join(median, "_key").select(*estimate.columns, scale), "mcd")
 
@@ -147,18 +154,19 @@ def judge(stats: DataFrame, lang: str = "lang", source: str = "source") -> DataF
     mark = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     keys = [F.concat_ws("\x1f", mark(lang), mark(source)), F.concat_ws("\x1f", mark(lang), F.lit("*")), F.lit("*")]
     vectors = _vector(stats)
+    vectors = vectors.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     levels = vectors.where("not base_failed").select(
-        F.explode(F.array(*keys)).alias("_key"), *FEATURES)
+        F.explode(F.array(*keys)).alias("_key"), "_salt", *FEATURES)
     levels = cut(levels, "vectors")
     large = levels.groupBy("_key").count().where((F.col("count") >= MIN_GROUP) | (F.col("_key") == "*"))
-    known = covariance_estimates(cut(levels.join(cut(large.select("_key"), "mcd"), "_key"), "vectors"))
+    known = covariance_estimates(cut(_meet(levels, cut(large.select("_key"), "mcd")), "vectors"))
     cutoff = chi_square(1 - ALPHA, len(FEATURES))
-    names = known.select(F.col("_key").alias("_known"))
     pick = vectors.withColumns({f"_k{i}": k for i, k in enumerate(keys)})
     for i in range(2):
-        pick = pick.join(names.select(F.col("_known").alias(f"_has{i}")), F.col(f"_k{i}") == F.col(f"_has{i}"), "left")
+        named = known.select("_key", F.col("_key").alias(f"_has{i}"))
+        pick = _meet(pick.withColumn("_key", F.col(f"_k{i}")), named, "left").drop("_key")
     pick = pick.withColumn("_key", F.coalesce("_has0", "_has1", F.lit("*")))
-    judged = pick.join(known, "_key", "left").withColumn("distance", _distance() / F.col("scale"))
+    judged = _meet(pick, known, "left").withColumn("distance", _distance() / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(*stats.columns, "distance", kept.alias("kept"))
 
@@ -178,9 +186,13 @@ def quality_rules(
     return judge(cut(base_counts(own, "_text").drop("_text"), "counts"))
 
 
-def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that the rules keep, with all their columns."""
-    kept = quality_rules(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+def kept_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source"
+) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all their columns. Rows alike but for language or source are judged apart."""
+    kept = quality_rules(docs, id_col, text_col, lang_col, source_col).where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"),
+        F.col("lang").alias("_kept_lang"), F.col("source").alias("_kept_source")).distinct()
     same = docs[id_col].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(docs[text_col]) == kept["_kept_hash"])
+    same &= docs[lang_col].eqNullSafe(kept["_kept_lang"]) & docs[source_col].eqNullSafe(kept["_kept_source"])
     return docs.join(kept, same, "left_semi")

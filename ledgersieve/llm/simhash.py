@@ -203,8 +203,10 @@ def near_duplicates(
     Rows that share an id are separate rows of the same id. A NULL id is never a component id unless
     no row of the component has one. With `root_col`, a column of that name tells components apart
     whatever their ids: it holds one fingerprint of the component. Columns other than the text pass
-    through unchanged (`fingerprint` and `component_id` must be free); an empty table gives an empty table.
+    through unchanged; input columns with the names of the results give way to them. An empty table
+    gives an empty table.
     """
+    docs = docs.drop("fingerprint", "component_id", *[root_col] * bool(root_col))
     # Fingerprints are stored on their own, so texts are neither shuffled nor hashed twice here.
     marked = cut(fingerprints(docs, words, id_col, text_col).drop(text_col), "fingerprints")
     least = cut(marked.groupBy("fingerprint").agg(F.min(id_col).alias("least")), "distinct")

@@ -10,7 +10,8 @@ SCHEMA = StructType([
     StructField("source", StringType()), StructField("n_chars", LongType()),
 ])
 # Names that operators use for results or inside; as input columns they must do no harm.
-CLASHES = ("n_words", "kept", "id", "h1", "bucket", "score", "fingerprint_", "label", "spans_", "key")
+CLASHES = ("n_words", "kept", "id", "h1", "bucket", "score", "fingerprint", "component_id", "n_lines", "n_dropped", "label",
+           "spans_", "key", "text_hash", "keeper", "least", "_row", "_row0", "_key", "_salt", "distance", "x")
 
 
 @pytest.fixture(scope="session")

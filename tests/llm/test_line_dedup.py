@@ -22,9 +22,10 @@ def brute(rows, min_chars=20, min_docs=3):
 
 
 def test_awkward_rows_match_brute_force(docs_of, awkward, rows):
-    docs = docs_of(awkward, extra=True).drop("n_words")
+    docs = docs_of(awkward, extra=True)
     out = line_dedup(docs)
-    assert out.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert out.columns == [*docs.drop("n_lines", "n_dropped").columns, "n_lines", "n_dropped"]
+    assert line_dedup(docs, stats=False).columns == docs.columns
     assert rows(out, "doc_id", "text", "n_lines", "n_dropped") == brute(awkward)
 
 
@@ -41,5 +42,13 @@ def test_threshold_counts_documents_not_lines(docs_of, rows):
     assert [r[1] for r in rows(line_dedup(docs_of(table)), "doc_id", "n_dropped")] == [0, 0]
 
 
+def test_rows_without_an_id_keep_to_their_own_text(docs_of, rows):
+    """Many rows without an id, and with one id, each hold a shared line and one of their own."""
+    line = "a line that all of the documents share"
+    table = [(None, f"{line}\nrow {i} without any id at all") for i in range(40)] + [(7, f"{line}\nrow {i} of the document seven") for i in range(9)]
+    table += [(1, line), (2, line), (3, line), (9, line)] + [(None, line)] * 5
+    assert rows(line_dedup(docs_of(table)), "doc_id", "text", "n_lines", "n_dropped") == brute(table)
+
+
 def test_empty_table(docs_of):
     assert line_dedup(docs_of([])).count() == 0

@@ -35,6 +35,17 @@ def test_outliers_go_and_clean_rows_stay(docs_of):
     assert kept == set(range(600))
 
 
+def test_twins_of_another_source_are_judged_apart(docs_of):
+    """One text under one id: an outlier where words are short, usual where they are all as long."""
+    draw = random.Random(3)
+    prose = lambda size: " ".join("".join(draw.choice("abcdefgh") for _ in range(size)) for _ in range(draw.randrange(80, 400)))
+    table = [(i, prose(5), "en", "a") for i in range(400)] + [(1000 + i, prose(30), "en", "b") for i in range(400)]
+    twin = prose(30)
+    docs = docs_of([*table, (5000, twin, "en", "a"), (5000, twin, "en", "b")])
+    assert {(r.source, r.kept) for r in quality_rules(docs).where("doc_id = 5000").collect()} == {("a", False), ("b", True)}
+    assert [r.source for r in kept_documents(docs).where("doc_id = 5000").collect()] == ["b"]
+
+
 def test_repeated_words_or_lines_alone_make_an_outlier(docs_of):
     draw = random.Random(7)
     word = lambda: f"{draw.choice('abcdefgh')}{draw.randrange(1000, 9999)}"

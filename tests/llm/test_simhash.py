@@ -43,7 +43,10 @@ def found(df):
 
 
 def test_awkward_rows_match_brute_force(docs_of, awkward):
-    assert found(near_duplicates(docs_of(awkward, extra=True))) == brute(awkward)
+    docs = docs_of(awkward, extra=True)
+    out = near_duplicates(docs, root_col="label")
+    assert found(out) == brute(awkward)
+    assert sorted(out.columns) == sorted({*docs.columns} - {"text"})
 
 
 def test_edited_copies_match_brute_force(docs_of):
