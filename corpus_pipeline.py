@@ -32,14 +32,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     of a group that share the least id are told apart by their row hash, and one of equal rows stays.
     """
     row = F.xxhash64(*docs.columns)
+    free = next(name for name in map("_row{}".format, range(len(docs.columns) + 1)) if name not in docs.columns)
     own = docs.select(F.col("doc_id").alias("_id"), row.alias("_row"), "text")
     found = simhash.near_duplicates(own, id_col="_id", root_col="_root")
     least = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_row"))
     first = found.groupBy("_root").agg(least.alias("_first"))
     first = cut(first.select("_first._id", "_first._row"), "kept")
     # The join shuffles a row hash, and equal rows are told apart by their place in it.
-    kept = docs.withColumn("_row", row).join(first, docs["doc_id"].eqNullSafe(first["_id"]) & (row == first["_row"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_row"]).drop("_row")
+    kept = docs.withColumn(free, row).join(first, docs["doc_id"].eqNullSafe(first["_id"]) & (row == first["_row"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", free]).drop(free)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
