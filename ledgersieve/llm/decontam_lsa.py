@@ -1,11 +1,11 @@
 """Find benchmark items in documents, copied or paraphrased, by latent semantic retrieval.
 
 Documents are cut into passages. TF-IDF vectors of all passages over the items' terms are reduced by
-a randomised SVD whose products are summed over tasks. A document is a candidate for an item unless
-it holds too few of the item's words in any order, which no window of it can exceed; each candidate is
-confirmed by the longest common subsequence of its words with the item, for the item as a whole and
-for its answer. The cosine in the latent space of items and overlapping passages says where in the
-document a found item is nearest; it drops none.
+a randomised SVD whose products are summed over tasks. Overlapping passages are compared with all
+items in that latent space, in blocks. An item near a passage is a paraphrase there if the longest common
+subsequence of the words around that passage with the item, and that with its answer, reach lower shares;
+copies are found at the higher share whatever their cosine. Before a subsequence is sought, the words
+that a document holds in any order, which no window of it can exceed, rule most pairs out without loss.
 
 Texts are read once: what is kept of a document is the places of the items' terms in it, which is all
 that the vectors and the subsequences need. Items are taken in blocks of bounded size, so the term
@@ -33,8 +33,10 @@ PASSAGE, STRIDE = 64, 32
 RANK, OVERSAMPLE, SEED = 64, 8, 11
 # Terms in a larger share of the passages say nothing about an item.
 MAX_SHARE = 0.05
-# Least shares of item and answer words in common order.
+# Least shares of item and answer words in common order, for a copy.
 ITEM_SHARE, ANSWER_SHARE = 0.7, 0.5
+# Least share of item words in common order where a passage is near the item, and the least cosine that is near.
+PARAPHRASE_SHARE, COSINE = 0.6, 0.35
 _PARTS = 16
 # Passages times items that are compared in one step, and rows or terms whose products are summed in
 # one: few enough that the products stay in a core's cache.
@@ -331,8 +333,8 @@ class Postings:
         return dense @ self.table + rare.reshape(b - a, n)
 
 
-def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray) -> tuple[float, list[tuple[int, float]]] | None:
-    """The largest share of the item in order around a passage of document d, and (start, answer share) of the passages that have it."""
+def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, least: float = ITEM_SHARE) -> tuple[float, list[tuple[int, float]]] | None:
+    """The largest share of the item in order around a passage of document d, `least` or more, and (start, answer share) of the passages that have it."""
     cells = slice(found.bounds[d], found.bounds[d + 1])
     place, term = found.place[cells], found.term[cells]
     kinds, times = np.unique(item, return_counts=True)
@@ -343,14 +345,14 @@ def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray) -> t
     reach = max(STRIDE, len(item))
     edges = np.searchsorted(own_place, [starts - reach, starts + PASSAGE + reach])
     most, at, last, share = 0.0, [], None, 0.0
-    for i in np.flatnonzero((edges[1] - edges[0]) / len(item) >= ITEM_SHARE).tolist():
+    for i in np.flatnonzero((edges[1] - edges[0]) / len(item) >= least).tolist():
         a, b = window = edges[0, i], edges[1, i]
         if window != last:
             last = window
             share = np.minimum(np.bincount(code[a:b], minlength=len(kinds)), times).sum() / len(item)
-            if share >= ITEM_SHARE:
+            if share >= least:
                 share = common_words(item, own_term[a:b]) / len(item)
-        if share >= ITEM_SHARE and share >= most:
+        if share >= least and share >= most:
             a, b = np.searchsorted(place, [starts[i] - reach, starts[i] + PASSAGE + reach])
             tail = common_words(answer, term[a:b]) / len(answer) if len(answer) else 1.0
             if tail >= ANSWER_SHARE:
@@ -360,6 +362,28 @@ def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray) -> t
     return (most, at) if at else None
 
 
+def _nearest(found: Places, weights: np.ndarray, basis: np.ndarray, queries: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For every document and item the largest cosine of a passage with a part of the item; 0 without a direction."""
+    n = len(found.bounds) - 1
+    near = np.zeros((n, len(first) - 1), np.float32)
+    able = np.flatnonzero(np.diff(first))
+    doc, _, bounds, term, values = found.passages(STRIDE, weights)
+    step = max(1, _PAIRS // max(1, len(queries)))
+    for a in range(0, len(doc), step):
+        b = min(len(doc), a + step)
+        cells = slice(bounds[a], bounds[b])
+        rows = _unit(_project(bounds[a : b + 1] - bounds[a], term[cells], values[cells], basis))
+        best = np.maximum.reduceat(rows @ queries.T, first[able], axis=1)
+        opens = np.flatnonzero(np.diff(doc[a:b], prepend=-1))
+        at = np.ix_(doc[a:b][opens], able)
+        near[at] = np.maximum(near[at], np.maximum.reduceat(best, opens, axis=0))
+    return near
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
+
+
 def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray, id_type: str, item_type: str) -> DataFrame:
     # A passage cannot hold an item longer than itself, so each part of such an item has a direction of its own.
     parts = [(k, x) for k, s in enumerate(items.sequences) if len(s) for x in np.array_split(s, -(-len(s) // PASSAGE))]
@@ -367,7 +391,7 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
     for k, (_, sequence) in enumerate(parts):
         term, count = np.unique(sequence, return_counts=True)
         latent[k] = ((1 + np.log(count)) * weights[term]) @ basis[term]
-    queries = latent / np.maximum(np.linalg.norm(latent, axis=1), 1e-9)[:, None]
+    queries = _unit(latent)
     words = np.array([len(s) for s in items.sequences])
     first = row_offsets(-(-words // PASSAGE))
     shared = places.sparkSession.sparkContext.broadcast((items, weights, basis, queries, first, words, Postings.of(items)))
@@ -381,16 +405,18 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
                 found = Places.of(part)
                 pairs: dict[tuple[int, int], tuple] = {}
                 for i in range(0, part.num_rows, step):
-                    held = postings.held(found, i, min(i + step, part.num_rows))
-                    able = (held / np.maximum(n_words, 1) >= ITEM_SHARE) & (n_words > 0)
+                    some = np.arange(i, min(i + step, part.num_rows))
+                    held = postings.held(found, i, i + len(some)) / np.maximum(n_words, 1)
+                    near = _nearest(found.take(some), w, b, q, parts_of) >= COSINE
+                    able = ((held >= ITEM_SHARE) | near & (held >= PARAPHRASE_SHARE)) & (n_words > 0)
                     for d, k in np.argwhere(able).tolist():
-                        best = _confirmed(found, i + d, own.sequences[k], own.answers[k])
+                        least = PARAPHRASE_SHARE if near[d, k] else ITEM_SHARE
+                        best = _confirmed(found, i + d, own.sequences[k], own.answers[k], least)
                         if best:
                             pairs[i + d, k] = best
                 docs = np.unique(np.array([d for d, _ in pairs], np.int64))
                 doc, start, bounds, term, values = found.take(docs).passages(STRIDE, w)
-                rows = _project(bounds, term, values, b) if len(doc) else np.zeros((0, b.shape[1]), np.float32)
-                rows /= np.maximum(np.linalg.norm(rows, axis=1), 1e-9)[:, None]
+                rows = _unit(_project(bounds, term, values, b) if len(doc) else np.zeros((0, b.shape[1]), np.float32))
                 at = {x: r for r, x in enumerate(zip(docs[doc].tolist(), start.tolist()))}
                 ids, hashes = part["id"].to_pylist(), part["text_hash"].to_pylist()
                 out = []
@@ -399,7 +425,8 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
                     # The first of those nearest; a passage without rare terms has no direction.
                     cosine, back, tail = max(
                         (float((near @ rows[at[d, s]]).max()) if (d, s) in at else 0.0, -s, tail) for s, tail in places_)
-                    out.append((ids[d], hashes[d], own.ids[k], cosine, share, tail, -back))
+                    if share >= ITEM_SHARE or cosine >= COSINE:
+                        out.append((ids[d], hashes[d], own.ids[k], cosine, share, tail, -back))
                 columns = list(zip(*out)) or [[]] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_HIT_NAMES)
 
@@ -436,7 +463,7 @@ def find_items(
     """One row per document row and item found in it: id, text_hash, item_id, cosine, item_share, answer_share, near_word.
 
     NULL, empty and blank texts hold no item; an item without words is never found. Every document and
-    item that the word shares accept is found, whatever their cosine. Rows that repeat are reported each. A NULL id or item
+    item that the shares of a copy accept is found, whatever their cosine; those of a paraphrase need it. Rows that repeat are reported each. A NULL id or item
     id stays. Other columns are not read. An empty table on either side gives no rows.
     """
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
