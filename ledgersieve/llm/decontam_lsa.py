@@ -3,7 +3,8 @@
 Documents are cut into passages. TF-IDF vectors of all passages over the items' terms are reduced by
 a randomised SVD whose products are summed over tasks. Overlapping passages are compared with all
 items in that latent space, in blocks. An item near a passage is a paraphrase there if the longest common
-subsequence of the words around that passage with the item, and that with its answer, reach lower shares;
+subsequence of the words around that passage with the item, and that with its answer, reach lower shares
+and those words hold two fifths of its weight, in which rare words count most;
 copies are found at the higher share whatever their cosine. Before a subsequence is sought, the words
 that a document holds in any order, which no window of it can exceed, rule most pairs out without loss.
 
@@ -35,8 +36,9 @@ RANK, OVERSAMPLE, SEED = 64, 8, 11
 MAX_SHARE = 0.05
 # Least shares of item and answer words in common order, for a copy.
 ITEM_SHARE, ANSWER_SHARE = 0.7, 0.5
-# Least share of item words in common order where a passage is near the item, and the least cosine that is near.
-PARAPHRASE_SHARE, COSINE = 0.6, 0.35
+# Least share of item words in common order, and of their weight in any order, where a passage is near the
+# item, and the least cosine that is near.
+PARAPHRASE_SHARE, RARE_SHARE, COSINE = 0.6, 0.4, 0.35
 _PARTS = 16
 # Passages times items that are compared in one step, and rows or terms whose products are summed in
 # one: few enough that the products stay in a core's cache.
@@ -333,8 +335,12 @@ class Postings:
         return dense @ self.table + rare.reshape(b - a, n)
 
 
-def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, least: float = ITEM_SHARE) -> tuple[float, list[tuple[int, float]]] | None:
-    """The largest share of the item in order around a passage of document d, `least` or more, and (start, answer share) of the passages that have it."""
+def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, rare: np.ndarray | None = None) -> tuple[float, list[tuple[int, float]]] | None:
+    """The largest share of the item in order around a passage of document d, and (start, answer share) of the passages that have it.
+
+    With `rare`, the weights of all terms, the lower share is enough where the weights reach it too.
+    """
+    least = ITEM_SHARE if rare is None else PARAPHRASE_SHARE
     cells = slice(found.bounds[d], found.bounds[d + 1])
     place, term = found.place[cells], found.term[cells]
     kinds, times = np.unique(item, return_counts=True)
@@ -349,9 +355,12 @@ def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, leas
         a, b = window = edges[0, i], edges[1, i]
         if window != last:
             last = window
-            share = np.minimum(np.bincount(code[a:b], minlength=len(kinds)), times).sum() / len(item)
+            held = np.minimum(np.bincount(code[a:b], minlength=len(kinds)), times)
+            share = held.sum() / len(item)
             if share >= least:
                 share = common_words(item, own_term[a:b]) / len(item)
+                if rare is not None and share < ITEM_SHARE and held @ rare[kinds] < max(RARE_SHARE * (times @ rare[kinds]), 1e-9):
+                    share = 0.0
         if share >= least and share >= most:
             a, b = np.searchsorted(place, [starts[i] - reach, starts[i] + PASSAGE + reach])
             tail = common_words(answer, term[a:b]) / len(answer) if len(answer) else 1.0
@@ -410,8 +419,7 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
                     near = _nearest(found.take(some), w, b, q, parts_of) >= COSINE
                     able = ((held >= ITEM_SHARE) | near & (held >= PARAPHRASE_SHARE)) & (n_words > 0)
                     for d, k in np.argwhere(able).tolist():
-                        least = PARAPHRASE_SHARE if near[d, k] else ITEM_SHARE
-                        best = _confirmed(found, i + d, own.sequences[k], own.answers[k], least)
+                        best = _confirmed(found, i + d, own.sequences[k], own.answers[k], w if near[d, k] else None)
                         if best:
                             pairs[i + d, k] = best
                 docs = np.unique(np.array([d for d, _ in pairs], np.int64))
@@ -463,7 +471,8 @@ def find_items(
     """One row per document row and item found in it: id, text_hash, item_id, cosine, item_share, answer_share, near_word.
 
     NULL, empty and blank texts hold no item; an item without words is never found. Every document and
-    item that the shares of a copy accept is found, whatever their cosine; those of a paraphrase need it. Rows that repeat are reported each. A NULL id or item
+    item that the shares of a copy accept is found, whatever their cosine; a paraphrase needs it, and an item all of
+    whose words stand in over MAX_SHARE of the passages has none. Rows that repeat are reported each. A NULL id or item
     id stays. Other columns are not read. An empty table on either side gives no rows.
     """
     id_type, item_type = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
