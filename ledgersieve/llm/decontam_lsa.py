@@ -351,7 +351,12 @@ def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, rare
     reach = max(STRIDE, len(item))
     edges = np.searchsorted(own_place, [starts - reach, starts + PASSAGE + reach])
     most, at, last, share = 0.0, [], None, 0.0
-    for i in np.flatnonzero((edges[1] - edges[0]) / len(item) >= least).tolist():
+    many = (edges[1] - edges[0]) / len(item)
+    use = many >= ITEM_SHARE
+    if rare is not None:
+        total, so_far = times @ rare[kinds], np.concatenate([[0.0], np.cumsum(rare[own_term], dtype=np.float64)])
+        use |= (many >= least) & (so_far[edges[1]] - so_far[edges[0]] >= RARE_SHARE * total - 1e-6)
+    for i in np.flatnonzero(use).tolist():
         a, b = window = edges[0, i], edges[1, i]
         if window != last:
             last = window
@@ -359,7 +364,7 @@ def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, rare
             share = held.sum() / len(item)
             if share >= least:
                 share = common_words(item, own_term[a:b]) / len(item)
-                if rare is not None and share < ITEM_SHARE and held @ rare[kinds] < max(RARE_SHARE * (times @ rare[kinds]), 1e-9):
+                if rare is not None and share < ITEM_SHARE and held @ rare[kinds] < max(RARE_SHARE * total, 1e-9):
                     share = 0.0
         if share >= least and share >= most:
             a, b = np.searchsorted(place, [starts[i] - reach, starts[i] + PASSAGE + reach])
@@ -371,6 +376,25 @@ def _confirmed(found: Places, d: int, item: np.ndarray, answer: np.ndarray, rare
     return (most, at) if at else None
 
 
+def _weight_held(found: Places, pairs: np.ndarray, items: Items, weights: np.ndarray) -> np.ndarray:
+    """For each (document, item) the share of the item's weight whose words the document holds, in any order."""
+    size = len(weights)
+    doc = np.repeat(np.arange(len(found.bounds) - 1), np.diff(found.bounds))
+    keys, held = np.unique(doc * size + found.term, return_counts=True)
+    chosen, item = np.unique(pairs[:, 1], return_inverse=True)
+    kinds = [np.unique(items.sequences[k], return_counts=True) for k in chosen.tolist()]
+    bounds = row_offsets(np.array([len(t) for t, _ in kinds], np.int64))
+    counts = np.diff(bounds)[item]
+    at = ranges(bounds[item], counts)
+    term, times = (np.concatenate(x)[at] for x in zip(*kinds))
+    row = np.repeat(np.arange(len(pairs)), counts)
+    key = pairs[row, 0] * size + term
+    place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    mine = np.where(keys[place] == key, np.minimum(held[place], times), 0)
+    total = np.bincount(row, times * weights[term], len(pairs))
+    return np.bincount(row, mine * weights[term], len(pairs)) / np.maximum(total, 1e-9)
+
+
 def _nearest(found: Places, weights: np.ndarray, basis: np.ndarray, queries: np.ndarray, first: np.ndarray) -> np.ndarray:
     """For every document and item the largest cosine of a passage with a part of the item; 0 without a direction."""
     n = len(found.bounds) - 1
@@ -416,8 +440,12 @@ def _search(places: DataFrame, items: Items, weights: np.ndarray, basis: np.ndar
                 for i in range(0, part.num_rows, step):
                     some = np.arange(i, min(i + step, part.num_rows))
                     held = postings.held(found, i, i + len(some)) / np.maximum(n_words, 1)
-                    near = _nearest(found.take(some), w, b, q, parts_of) >= COSINE
-                    able = ((held >= ITEM_SHARE) | near & (held >= PARAPHRASE_SHARE)) & (n_words > 0)
+                    near = (held >= PARAPHRASE_SHARE) & (n_words > 0)
+                    near &= _nearest(found.take(some), w, b, q, parts_of) >= COSINE
+                    pairs_near = np.argwhere(near)
+                    if len(pairs_near):
+                        near[near] = _weight_held(found.take(some), pairs_near, own, w) >= RARE_SHARE - 1e-6
+                    able = ((held >= ITEM_SHARE) | near) & (n_words > 0)
                     for d, k in np.argwhere(able).tolist():
                         best = _confirmed(found, i + d, own.sequences[k], own.answers[k], w if near[d, k] else None)
                         if best:
