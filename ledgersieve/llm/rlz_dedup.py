@@ -3,9 +3,9 @@
 The reference is all documents, indexed in blocks. Every window of `window` words belongs to the
 block of its anchor, the least hash among the short word runs inside it, so equal windows always
 meet in one block, and a block never holds more than its share of the anchors. A document is
-factored greedily against the blocks: the index gives the earliest place of the window at hand, the
-factor runs on for as long as the document and that place agree, and at its boundary the next
-window is looked up anew. Factors of at least `window` words that point to a smaller id are removed.
+factored against the blocks: the index gives the earliest place of every window, and a factor runs on
+for as long as the next window's earliest place follows on. A factor is not the longest match with its
+document where a still earlier one holds part of it; what is removed is the same. Factors of at least `window` words that point to a smaller id are removed.
 
 Documents are dealt once to groups of a few megabytes (the shuffle of the texts is reused). Between
 groups and blocks go only sorted lists without repeats, so a passage that a third of all documents
