@@ -4,7 +4,7 @@ Four-grams of the normalised training text of every language are counted on all
 combined per task and per block of grams. The model keeps every counted gram, so it grows with the
 distinct grams of the corpus, by the same rule at every size. Each order lives in sorted arrays of gram hashes with log
 probabilities and back-off weights. A text gets the language with the least cross-entropy per
-character; the score is calibrated on a bounded sample, with a rejection level per language.
+character; the score is calibrated on all training rows, with a rejection level per language.
 """
 
 from __future__ import annotations
@@ -18,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersieve.llm.sampling import bounded_sample
 from ledgersieve.llm.words import mix, row_offsets, slices
+from ledgersieve.operators.ranking import weighted_positions
+from ledgersieve.sources.cut import cut
 
 ORDER = 4
 BLOCKS = 16
 DISCOUNT = 0.75
-# Rows that set the sharpness of the score and the rejection levels (whole texts, least hashes first).
-CALIBRATION_ROWS = 2000
+# How sharply the score may fall with the distance of the languages.
+SHARPNESS = (1.0, 2.0, 5.0, 10.0, 20.0, 50.0)
 REJECT_SHARE = 0.001
 UNKNOWN = "und"
 _U = np.uint64
@@ -222,7 +223,7 @@ def _count_rows(rows) -> pa.RecordBatch:
 
 
 def fit(training: DataFrame) -> Model:
-    """Models of all languages in `training` (id, text, lang); rows without a language or text are left out."""
+    """Models of all languages in `training` (text, lang); rows without a language or text are left out."""
     training = training.where(F.col("lang").isNotNull() & (F.length("text") > 0))
     counted: dict[str, list] = {}
     for row in count_grams(training).toLocalIterator():
@@ -230,32 +231,69 @@ def fit(training: DataFrame) -> Model:
             (np.frombuffer(row["grams"], np.uint64), np.frombuffer(row["counts"], np.int64)))
     languages = sorted(counted)
     model = Model(languages, [KneserNey(*_merge(counted.pop(k))) for k in languages])
-    sample = bounded_sample(training, CALIBRATION_ROWS, F.col("id"), F.xxhash64("text")).select("text", "lang").collect()
-    return _calibrate(model, sample)
+    return _calibrate(model, training)
 
 
-def _calibrate(model: Model, sample: list) -> Model:
-    """The sharpness under which the sample is most likely, and the level that all but a few of its texts stay below."""
+def _calibrate(model: Model, training: DataFrame) -> Model:
+    """The sharpness under which all training texts are most likely, and the level that all but a few of them stay below.
+
+    A task sends one number per sharpness and, per text, its language and its cross-entropy under it.
+    """
     model.limits = np.full(len(model.languages), np.inf)
-    if not sample:
-        return model
-    entropy, counts = model.entropies([r["text"] for r in sample])
-    true = np.array([model.languages.index(r["lang"]) for r in sample])
-    entropy, true = entropy[counts > 0], true[counts > 0]
-    if not len(true):
+    if not model.languages:
         return model
-    gap = entropy - entropy.min(axis=1, keepdims=True)
-    loss = {}
-    for sharpness in (1.0, 2.0, 5.0, 10.0, 20.0, 50.0):
-        odds = np.exp(-sharpness * gap)
-        loss[sharpness] = -np.log(odds[np.arange(len(true)), true] / odds.sum(axis=1) + 1e-9).mean()
-    model.sharpness = min(loss, key=loss.get)
-    for k in range(len(model.languages)):
-        if (true == k).any():
-            model.limits[k] = np.quantile(entropy[true == k, k], 1 - REJECT_SHARE) * 1.1
+    shared = training.sparkSession.sparkContext.broadcast(model)
+    place = {language: k for k, language in enumerate(model.languages)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            for a, b in slices(batch, "text", 1 << 23):
+                entropy, counts = known.entropies(batch["text"].slice(a, b - a).to_pylist())
+                true = np.array([place.get(x, -1) for x in batch["lang"].slice(a, b - a).to_pylist()], int)[counts > 0]  # -1 has no letter
+                entropy = entropy[counts > 0]
+                own = entropy[np.arange(len(true)), true]
+                gap = entropy - entropy.min(axis=1, keepdims=True)
+                loss = [_loss(gap, true, x) for x in SHARPNESS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([*true, *[None] * len(loss)], pa.int32()), pa.array([*own, *[None] * len(loss)], pa.float64()),
+                     pa.array([*[None] * len(true), *range(len(loss))], pa.int32()), pa.array([*[None] * len(true), *loss], pa.int64())],
+                    names=["language", "entropy", "sharpness", "loss"])
+
+    measured = cut(training.select("text", "lang").mapInArrow(
+        measure, "language int, entropy double, sharpness int, loss bigint"), "entropies")
+    total = {r["sharpness"]: r["loss"] for r in measured.where("sharpness IS NOT NULL").groupBy("sharpness").agg(F.sum("loss").alias("loss")).collect()}
+    model.sharpness = SHARPNESS[min(range(len(SHARPNESS)), key=lambda i: total.get(i, 0))]
+    for k, level in _levels(measured.where("language IS NOT NULL"), 1 - REJECT_SHARE).items():
+        model.limits[k] = level * 1.1
     return model
 
 
+def _loss(gap: np.ndarray, true: np.ndarray, sharpness: float) -> int:
+    """Negative log likelihood of the true languages, in millionths: whole numbers add up alike in any order."""
+    odds = np.exp(-sharpness * gap)
+    each = -np.log(odds[np.arange(len(true)), true] / odds.sum(axis=1) + 1e-9)
+    return int(np.rint(each * 1e6).astype(np.int64).sum())
+
+
+def _levels(own: DataFrame, quantile: float) -> dict[int, float]:
+    """The exact quantile of `entropy` per language, interpolated between the two ranks beside it."""
+    counted = own.groupBy("language", "entropy").agg(F.count("*").alias("n"))
+    rows = {r["language"]: r["n"] for r in own.groupBy("language").agg(F.count("*").alias("n")).collect()}  # one row per language
+    ranks = [(k, int(np.floor((n - 1) * quantile))) for k, n in rows.items()]
+    ranks += [(k, int(np.ceil((n - 1) * quantile))) for k, n in rows.items()]
+    wanted = F.broadcast(own.sparkSession.createDataFrame(sorted(set(ranks)), "language int, rank bigint"))
+    placed = weighted_positions(counted, ["language"], ["entropy"], "n")
+    at = placed.join(wanted, "language").where((F.col("position") <= F.col("rank")) & (F.col("rank") < F.col("position") + F.col("n")))
+    value = {(r["language"], r["rank"]): r["entropy"] for r in at.collect()}  # two rows per language
+    levels = {}
+    for k, n in rows.items():
+        share = (n - 1) * quantile
+        low, high = value[k, int(np.floor(share))], value[k, int(np.ceil(share))]
+        levels[k] = low + (high - low) * (share - np.floor(share))
+    return levels
+
+
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: id, lang_pred, score (0 to 1), rejected.
 

@@ -29,6 +29,22 @@ def test_languages_of_held_out_and_awkward_rows(docs_of, awkward):
     assert [r.lang_pred for r in langid.identify(docs_of([(1, "abc")]), none).collect()] == ["und"]
 
 
+def test_score_and_rejection_are_set_by_all_training_rows(docs_of):
+    draw = random.Random(5)
+    table = [(i, text(draw, lang, 4 + i % 9), lang) for i, lang in enumerate(list(SYLLABLES) * 1300)]
+    table += [(90_000 + i, "zq " * (i + 1), lang) for i, lang in enumerate(list(SYLLABLES) * 5)]
+    table += [(95_000, "1 2 3", "en"), (95_001, None, "en"), (95_002, "abc", None)]
+    model = langid.fit(docs_of([(*r, None) for r in table]).withColumnRenamed("doc_id", "id"))
+    rows = [r for r in table[:-3]]
+    entropy, _ = model.entropies([r[1] for r in rows])
+    true = np.array([model.languages.index(r[2]) for r in rows])
+    expected = [np.quantile(entropy[true == k, k], 1 - langid.REJECT_SHARE) * 1.1 for k in range(len(model.languages))]
+    assert np.allclose(model.limits, expected, rtol=1e-9)
+    odds = {x: np.exp(-x * (entropy - entropy.min(axis=1, keepdims=True))) for x in langid.SHARPNESS}
+    loss = {x: -np.log(o[np.arange(len(true)), true] / o.sum(axis=1) + 1e-9).mean() for x, o in odds.items()}
+    assert model.sharpness == min(loss, key=loss.get)
+
+
 def test_model_keeps_every_gram_whatever_the_number_of_languages(docs_of):
     draw = random.Random(8)
     texts = ["".join(chr(0x4E00 + draw.randrange(40)) for _ in range(2000)) for _ in range(30)]
