@@ -71,3 +71,12 @@ def test_whole_match_refuses_a_trailing_line_break(spark):
     df = spark.createDataFrame([("2024-01-01",), ("2024-01-01\n",), ("x2024-01-01",)], "t string")
     found = df.select(whole_match(F.col("t"), "[0-9]{4}-[0-9]{2}-[0-9]{2}")).collect()
     assert [r[0] for r in found] == [True, False, False]
+
+
+def test_dates_read_by_cast_or_by_format_are_the_same(spark):
+    texts = [f"{y:04d}-{m:02d}-{d:02d}" for y in (0, 1582, 1900, 2023, 2024, 9999) for m in (0, 2, 12, 13) for d in (0, 28, 29, 30, 31, 32)]
+    texts += ["", " 2024-01-01", "2024-01-01 ", "2024-1-1", "+2024-01-01", "12024-01-01", "2024-01-01T", "2024-01-01\n", "today", "2024-01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = df.select("t", iso_date(F.col("t")).alias("found"), F.try_to_date("t", "yyyy-MM-dd").alias("expected"))
+    assert read.where("NOT (found <=> expected)").count() == 0
+    assert "try_cast" in read._jdf.queryExecution().analyzed().toString()

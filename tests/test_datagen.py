@@ -112,3 +112,26 @@ def test_summary_lists_sizes_then_issues(bronze):
     assert [r["kind"] for r in summary[:3]] == ["rows"] * 3
     counts = [r["n"] for r in summary[3:]]
     assert counts == sorted(counts, reverse=True)
+
+
+def test_injection_fits_methods_that_the_jvm_compiles(spark):
+    """The JVM runs methods of 8,000 bytes and more uncompiled, several times slower."""
+    import re
+
+    from ledgersieve.datagen.clean import Clean
+
+    clean = Clean()
+    clean.orphan_supplier_id = "S9"
+    clean.headers = spark.createDataFrame([(f"PO{i}", "S1", i) for i in range(9)], "po_id string, supplier_id string, slot int").selectExpr(
+        "*", "date('2024-01-05') AS order_date", "'EUR' AS currency", "cast(slot AS decimal(18,2)) AS total_amount", "'EURO' AS bad_currency")
+    clean.items = clean.headers.selectExpr(
+        "po_id", "10L AS item_no", "'x' AS description", "bigint(slot) AS quantity", "total_amount AS unit_price", "order_date AS delivery_date",
+        "order_date", "'c' AS true_category", "slot", "if(slot % 2 = 0, 'description', 'quantity') AS blank_field", "slot AS early_days",
+        "if(slot = 3, 50, NULL) AS price_factor", "if(slot = 4, 50, NULL) AS quantity_factor")
+    dirty = Bronze(clean)
+    assert sorted(r.po_id for r in dirty.headers.collect()) == sorted([*(f"PO{i}" for i in range(9)), "PO6", "ND7"])
+    assert sorted(r.po_id for r in dirty.items.collect()) == sorted([*(f"PO{i}" for i in range(9)), "ND7"])
+    for marked in (dirty.headers_marked, dirty.items_marked):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", marked._jdf.queryExecution().explainString(mode))]
+        assert sizes and max(sizes) < 8000
