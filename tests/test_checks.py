@@ -96,3 +96,32 @@ def test_twenty_eight_instances():
     staging, silver = staging_checks([]), silver_checks([])
     assert (len(staging), len(silver)) == (16, 12)
     assert {x.severity for x in staging} == {"warn"} and {x.severity for x in silver} == {"error"}
+
+
+def test_lines_without_a_parent_and_early_lines_meet_only_what_they_need(spark):
+    d = lambda n: date(2024, 1, n)
+    headers = spark.createDataFrame([("A", d(5)), ("A", d(5)), ("A", d(9)), ("B", d(2)), ("B", None), (None, d(3))], "po_id string, order_date date")
+    items = spark.createDataFrame(
+        [("A", 1, d(7)), ("A", 1, d(7)), ("A", 2, d(1)), ("A", 3, d(9)), ("B", 1, None), ("C", 1, d(1)), ("C", 1, d(1)), (None, 1, d(1))],
+        "po_id string, item_no int, delivery_date date")
+    early = sorted(tuple(r) for r in delivered_before_ordered(items, headers).collect())
+    assert early == [("A", 1, d(9), d(7), 1)] * 2 + [("A", 2, d(5), d(1), 2), ("A", 2, d(9), d(1), 1)]
+    checks = [c.Check("items", "relationships", "po_id", parent="headers", parent_column="po_id"), c.Check("items", "not_null", "po_id")]
+    tagged = c.tagged_failures(checks, {"items": items, "headers": headers})
+    assert sorted(r.check_name for r in tagged.collect()) == ["not_null_po_id"] + ["relationships_po_id"] * 2
+    assert sum("_lost_" in c for c in tagged._jdf.queryExecution().analyzed().toString().split()) > 0
+
+
+def test_placed_rows_are_written_in_buckets_without_a_sort(spark, tmp_path):
+    from ledgersieve.sources.tables import write_buckets
+
+    conf = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(conf)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(1000).selectExpr("concat('k', id % 37) AS k", "id")
+    for i, df in enumerate((rows.repartition(parts, "k"), rows.repartition(3))):  # the second meets every bucket in each task
+        stored = write_buckets(df, str(tmp_path / str(i)), ["k"])
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+        grouped = stored.groupBy("k").count()
+        assert grouped.count() == 37 and "Exchange hashpartitioning(k" not in grouped._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(conf) == before
