@@ -14,6 +14,7 @@ import os
 from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from ledgersieve.llm.words import ranges, row_offsets, slices
+from ledgersieve.llm.words import ranges, row_offsets, slices, text_bytes
 
 TIERS = (512, 1024, 2048, 4096)
 CHUNK_TOKENS = 1 << 21
 STEP_TOKENS = 1 << 16
-KNOWN_WORDS = 1 << 19
-TEXT_SLICE = 1 << 22
+KNOWN_WORDS = 1 << 20
+KNOWN_IDS = 1 << 23
+LINE_WORDS = 256
+TEXT_SLICE = 1 << 23
 MARKS = ",.!?#$%&*;:"
 
 Piece = tuple[int, int, int]  # document, start, length
@@ -42,7 +45,8 @@ class WordTokenizer:
     back in place. A-Z are lowered first, and a tail of marks after a letter is a word of its own:
     the tokenizer lowers letters one by one and starts a new match at such a mark, so both leave the
     ids as they are. A text that holds one of the tokenizer's special marks goes through it whole, as
-    the tokenizer comes. At most KNOWN_WORDS words are remembered between calls.
+    the tokenizer comes. Words are remembered without their tails, at most KNOWN_WORDS of them and
+    KNOWN_IDS ids before a call, or else none.
     """
 
     def __init__(self, path: str):
@@ -54,42 +58,38 @@ class WordTokenizer:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # lowering must not make a mark
         vocabulary = self._tokenizer.get_vocab()
-        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
-        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        self._last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self._row: dict[str, int] = {}
-        self._ids: dict[str, list[int]] = {"": []}
-        self._flat = array("I")
-        self._start = array("q")
-        self._count = array("q")
-
-    def _learn(self, words: list[str]) -> None:
-        parts = []
-        for word in words:
-            core = word.rstrip(MARKS)
-            if len(core) == len(word) or not core or not (core[-1].isalpha() and core[-1] <= "\xff"):
-                core = word
-            parts.append((core, word[len(core) :]))
-        new = {x for pair in parts for x in pair} - self._ids.keys()
-        plain = [x for x in new if x.isalpha() and max(x) <= "\xff"]  # each one run of letters
-        lines = [" ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
-        done = iter(plain)
-        for coded in self._tokenizer.encode_batch_fast(lines, add_special_tokens=False):
-            ids, start = coded.ids, 0
-            for end in (np.flatnonzero(self._ends[ids]) + 1).tolist():
-                self._ids[next(done)] = ids[start:end]
-                start = end
-        odd = list(new.difference(plain))
-        for part, coded in zip(odd, self._tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self._ids[part] = coded.ids
-        for word, (core, tail) in zip(words, parts):
-            ids = self._ids[core] + self._ids[tail]
-            self._row[word] = len(self._row)
-            self._start.append(len(self._flat))
-            self._count.append(len(ids))
-            self._flat.extend(ids)
+        self._ids = array("I")
+        self._ends = array("q", [0])
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """The row of each word among the words known, which new ones join."""
+        rows = np.fromiter(map(self._row.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(rows < 0).tolist()
+        plain = [i for i in new if words[i].isalpha() and max(words[i]) <= "\xff"]  # each one run of letters
+        odd = sorted(set(new).difference(plain))
+        lines = [" ".join(words[i] for i in plain[at : at + LINE_WORDS]) for at in range(0, len(plain), LINE_WORDS)]
+        for ids in self._coded(lines):
+            self._keep(ids, np.flatnonzero(self._last[ids]) + 1)
+        for ids in self._coded([words[i] for i in odd]):
+            self._keep(ids, np.array([len(ids)]))
+        rows[plain + odd] = np.arange(len(self._row), len(self._row) + len(new))
+        self._row.update(zip((words[i] for i in plain + odd), range(len(self._row), len(self._row) + len(new))))
+        return rows
+
+    def _coded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), LINE_WORDS):
+            for coded in self._tokenizer.encode_batch_fast(texts[at : at + LINE_WORDS], add_special_tokens=False):
+                yield np.array(coded.ids, np.uint32)
+
+    def _keep(self, ids: np.ndarray, ends: np.ndarray) -> None:
+        self._ends.frombytes((self._ends[-1] + ends).astype(np.int64).tobytes())
+        self._ids.frombytes(ids.tobytes())
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the number of ids of each text."""
@@ -108,20 +108,40 @@ class WordTokenizer:
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
     def _by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._row) > KNOWN_WORDS:
+        if len(self._row) > KNOWN_WORDS or len(self._ids) > KNOWN_IDS:
             self._forget()
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn([w for w in words if w not in self._row])
-        rows = np.fromiter(map(self._row.__getitem__, words), np.int64, len(words))
-        rows = rows[coded.indices.to_numpy()]
-        counts = np.array(self._count)[rows]
-        ids = np.array(self._flat)[ranges(np.array(self._start)[rows], counts)]
+        words = split.flatten().dictionary_encode()
+        parts = _cores_and_tails(words.dictionary).dictionary_encode()
+        rows = self._rows(parts.dictionary.to_numpy(zero_copy_only=False).tolist())[parts.indices.to_numpy()]
+        known = np.asarray(self._ends)
+        counts = known[rows + 1] - known[rows]
+        ids = np.asarray(self._ids)[ranges(known[rows], counts)]
+        ends = row_offsets(counts)[::2]  # of a word: its core and its tail
+        rows = words.indices.to_numpy()
+        counts = np.diff(ends)[rows]
+        ids = ids[ranges(ends[rows], counts)]
         ends = row_offsets(counts)[row_offsets(pc.list_value_length(split).to_numpy())]
         return ids.astype(np.uint32, copy=False), np.diff(ends)
 
 
+def _cores_and_tails(words: pa.Array) -> pa.Array:
+    """Two strings a word, one after the other: up to the marks that follow its last letter, and these."""
+    data, offsets = text_bytes(words)
+    sizes = np.diff(offsets)
+    cores = pc.binary_length(pc.ascii_rtrim(words, MARKS)).to_numpy()
+    last = offsets[:-1] + cores - 1
+    cut = np.flatnonzero((cores > 0) & (cores < sizes))
+    last = last[cut]
+    byte, before = data[last], data[last - 1]  # a byte C3 begins a letter from \xc0 on, but for two signs
+    letter = (byte >= ord("a")) & (byte <= ord("z")) | (before == 0xC3) & (byte >= 0x80) & (byte != 0x97) & (byte != 0xB7)
+    ends = np.empty(2 * len(words) + 1, np.int64)
+    ends[::2] = offsets
+    ends[1::2] = offsets[1:]
+    ends[1 + 2 * cut[letter]] = last[letter] + 1
+    return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(ends), pa.py_buffer(data))
+
+
 _coders: dict[str, WordTokenizer] = {}
 
 

@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from ledgersieve.llm.packing import balance, pack, pack_chunk
+from ledgersieve.llm.packing import WordTokenizer, balance, pack, pack_chunk
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -64,3 +65,41 @@ def test_sequences_are_gapless(docs_of, awkward):
 @pytest.mark.parametrize("table", [[], [(1, None)], [(1, "")]])
 def test_empty(docs_of, table):
     assert [r.length for r in pack(docs_of(table), PATH).collect()] == [1] * len(table)
+
+
+def test_a_word_is_remembered_once_whatever_marks_follow_it():
+    words = [a + b for a in ("wind", "rain", "été", "mër") for b in ("y", "ow", "ß", "ing")]
+    tails = ["", ",", ".", "!!", "?", "%%%", ".;", "..."]
+    coder = WordTokenizer(PATH)
+    ids, counts = coder.encode(pa.array([" ".join(w + t for w in words) for t in tails]))
+    assert len(coder._row) <= len(words) + len(tails)
+    before = len(coder._ids)
+    again, _ = coder.encode(pa.array([" ".join(w + t for t in reversed(tails)) for w in words]))
+    assert len(coder._ids) == before
+    assert sorted(again) == sorted(ids) and counts.sum() == len(ids)
+
+
+@pytest.fixture(scope="module")
+def coders():
+    from tokenizers import Tokenizer
+
+    return WordTokenizer(PATH), Tokenizer.from_file(PATH)
+
+
+@given(st.lists(st.text("aZ\u00e9\u00c9\u00d7\u00f7\u00aa\u00df\u0130\u03a3\u0301\u4e2d7 \n\x1c\u00a0,.!#:'st-<|>", max_size=24), max_size=4))
+def test_ids_are_those_of_the_whole_text(coders, texts):
+    mine, whole = coders
+    ids, counts = mine.encode(pa.array(texts, pa.string()))
+    expected = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(x) for x in expected]
+    assert ids.tolist() == [i for x in expected for i in x]
+
+
+@pytest.mark.parametrize("bound", ["KNOWN_WORDS", "KNOWN_IDS"])
+def test_forgetting_keeps_the_ids(monkeypatch, coders, bound):
+    monkeypatch.setattr(f"ledgersieve.llm.packing.{bound}", 3)
+    mine, whole = WordTokenizer(PATH), coders[1]
+    for text in ("one two, three four.", "", "two one! 4,5 x-y", "three don't; stop", "four one two, three"):
+        ids, counts = mine.encode(pa.array([text, None]))
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids), 0]
+        assert len(mine._row) < 12  # five texts hold more
