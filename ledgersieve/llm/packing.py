@@ -29,10 +29,11 @@ from ledgersieve.llm.words import ranges, row_offsets, slices, text_bytes
 TIERS = (512, 1024, 2048, 4096)
 CHUNK_TOKENS = 1 << 21
 STEP_TOKENS = 1 << 16
-KNOWN_WORDS = 1 << 20
-KNOWN_IDS = 1 << 23
+# A worker lives on between tasks, beside the JVM: what it remembers and a slice's arrays stay within tens of MB.
+KNOWN_WORDS = 1 << 18
+KNOWN_IDS = 1 << 21
 LINE_WORDS = 256
-TEXT_SLICE = 1 << 23
+TEXT_SLICE = 1 << 21
 MARKS = ",.!?#$%&*;:"
 
 Piece = tuple[int, int, int]  # document, start, length
@@ -53,9 +54,10 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._whole = Tokenizer.from_file(path)
-        self._marks = [t.content for t in self._whole.get_added_tokens_decoder().values()]
-        self._tokenizer = Tokenizer.from_file(path)
+        self._load = lambda: Tokenizer.from_file(path)
+        self._whole = None
+        self._tokenizer = self._load()
+        self._marks = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._tokenizer.encode_special_tokens = True  # lowering must not make a mark
         vocabulary = self._tokenizer.get_vocab()
         self._last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
@@ -102,6 +104,7 @@ class WordTokenizer:
         rows = np.flatnonzero(marked)
         ids, counts = self._by_word(pc.if_else(pa.array(marked), "", texts))
         parts = np.split(ids, np.cumsum(counts)[:-1])
+        self._whole = self._whole or self._load()
         coded = self._whole.encode_batch_fast([texts[i].as_py() for i in rows.tolist()], add_special_tokens=False)
         for i, found in zip(rows.tolist(), coded):
             parts[i] = np.array(found.ids, np.uint32)
@@ -265,6 +268,7 @@ def pack(
                     tokens += len(pending[-1][1])
                     if tokens >= chunk_tokens:
                         yield from flush()
+            pa.default_memory_pool().release_unused()
         if pending:
             yield from flush()
 

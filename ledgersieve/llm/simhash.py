@@ -25,10 +25,11 @@ from ledgersieve.llm.words import row_offsets, slices
 from ledgersieve.sources.cut import cut
 
 SEED = 42
-# Variants that one step of a task holds at a time.
-LEAF_VARIANTS = 1 << 22
+# Variants that meet under one pattern of leading bits, and those that one step of a task holds at a time.
+BUCKET_VARIANTS = 1 << 22
+LEAF_VARIANTS = 1 << 20
 _U = np.uint64
-_FILTER_BITS = 24
+_FILTER_BITS = 22
 
 
 def shingle_hashes(text: str | None, words: int) -> list[int]:
@@ -157,7 +158,7 @@ def near_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     n = prints.count()
     variants = sum(math.comb(64, k) for k in range(flips + 1))
     tasks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    high = min(24, max(6, math.ceil(math.log2(max(1, n * variants / LEAF_VARIANTS, tasks)))))
+    high = min(24, max(6, math.ceil(math.log2(max(1, n * variants / BUCKET_VARIANTS, tasks)))))
     low_bits = 64 - high
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -103,3 +107,27 @@ def test_forgetting_keeps_the_ids(monkeypatch, coders, bound):
         ids, counts = mine.encode(pa.array([text, None]))
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids and counts.tolist() == [len(ids), 0]
         assert len(mine._row) < 12  # five texts hold more
+
+
+GROWN = """
+import itertools, resource, sys
+import pyarrow as pa
+from ledgersieve.llm.packing import TEXT_SLICE, WordTokenizer
+from ledgersieve.llm.words import slices
+
+words = map("".join, itertools.product("badcegfih", repeat=7))
+texts = pa.table({"text": [" ".join(itertools.islice(words, 1000)) for _ in range(800)]}).combine_chunks().to_batches()[0]
+coder = WordTokenizer(sys.argv[1])
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+before = peak()
+for a, b in slices(texts, "text", TEXT_SLICE):
+    coder.encode(texts.slice(a, b - a)["text"])
+print(peak() - before)
+"""
+
+
+def test_a_worker_takes_little_memory_for_many_words():
+    """800,000 words that differ: what is remembered and a slice's arrays, in MB."""
+    root = Path(__file__).resolve().parents[2]
+    said = subprocess.run([sys.executable, "-c", GROWN, PATH], cwd=root, capture_output=True, text=True, check=True, timeout=300)
+    assert int(said.stdout) < 200

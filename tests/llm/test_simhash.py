@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -100,3 +101,16 @@ def test_links_connect_like_all_pairs(spark, monkeypatch, leaf):
 
 def test_empty_table(docs_of):
     assert near_duplicates(docs_of([])).count() == 0
+
+
+def test_a_group_of_prints_takes_little_memory():
+    """2,400 prints have four million variants; one in two has a partner four flips away."""
+    own = np.random.default_rng(5).integers(0, 1 << 63, 1200, np.uint64)
+    prints = np.concatenate([own, own ^ np.uint64(0b110011)])
+    tracemalloc.start()
+    links = list(simhash._descend(prints, np.full(len(prints), 2), 58))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    met = {(min(a, b), max(a, b)) for x, y in links for a, b in zip(x.tolist(), y.tolist())}
+    assert {(min(a, b), max(a, b)) for a, b in zip(prints[:1200].tolist(), prints[1200:].tolist())} <= met
+    assert peak < 150e6
