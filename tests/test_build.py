@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from datetime import datetime
 
 import pytest
@@ -9,7 +11,7 @@ import pytest
 from ledgersieve.datagen.inject import Bronze
 from ledgersieve.datagen.synth import SyntheticOrders
 from ledgersieve.operators.checks import ChecksFailed, kept_failures, run_checks
-from ledgersieve.operators.steps import Step, StepFailed, StepsFailed, run_steps
+from ledgersieve.operators.steps import Step, StepFailed, StepsFailed, at_once, run_steps
 from ledgersieve.plans import build
 from ledgersieve.plans.build import run
 from ledgersieve.plans.checks import silver_checks
@@ -109,3 +111,21 @@ def test_bad_silver_stops_the_run(finished):
     tables["silver_po_headers"] = tables["silver_po_headers"].unionByName(tables["silver_po_headers"])
     with pytest.raises(ChecksFailed, match="silver_po_headers.unique_po_id"):
         run_checks(silver_checks([]), tables)
+
+
+def test_works_at_once_all_end_before_a_failure_is_raised(spark):
+    """Both of the first two wait for each other, so they must run side by side."""
+    together, ended = threading.Barrier(2, timeout=30), []
+
+    def fails():
+        together.wait()
+        raise ValueError("lost")
+
+    def ends():
+        together.wait()
+        time.sleep(0.2)
+        ended.append(True)
+
+    with pytest.raises(ValueError, match="lost"):
+        at_once(spark, [fails, ends])
+    assert ended == [True] and at_once(spark, [lambda: 1, lambda: 2]) == [1, 2] and at_once(spark, []) == []

@@ -125,3 +125,14 @@ def test_placed_rows_are_written_in_buckets_without_a_sort(spark, tmp_path):
         grouped = stored.groupBy("k").count()
         assert grouped.count() == 37 and "Exchange hashpartitioning(k" not in grouped._jdf.queryExecution().executedPlan().toString()
     assert spark.conf.get(conf) == before
+
+
+def test_rows_that_pass_are_left_out_before_lists_are_made(spark):
+    """Lists are not compiled, so only failing rows may reach them."""
+    df = spark.createDataFrame([("a", None), (None, None), ("b", "x"), ("b", "y")], "k string, v string")
+    kinds = [c.Check("t", "not_null", "k"), c.Check("t", "not_null", "v"), c.Check("t", "unique", "k"), c.Check("t", "accepted_values", "v", values=("x",))]
+    found = c.tagged_failures(kinds, {"t": df})
+    assert "lambda" not in "".join(x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x)
+    assert sorted((r["check_name"], r["row"]) for r in found.collect()) == [
+        ("accepted_values_v", '{"v":"y","n_records":1}'), ("not_null_k", '{"k":null,"v":null}'),
+        ("not_null_v", '{"k":"a","v":null}'), ("not_null_v", '{"k":null,"v":null}'), ("unique_k", '{"k":"b","n_records":2}')]

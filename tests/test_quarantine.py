@@ -234,3 +234,34 @@ def test_stored_lines_are_read_where_they_lie(spark):
         assert exchanges(silver.join(parents, "po_id", "left_anti")) == 1  # that of the parents
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_accounting_counts_placed_lines_where_they_lie(spark):
+    items = [(f"P{i % 7}", str(i), "d" if i % 5 else None, "1", "1", f"2024-01-{3 + i % 20:02d}") for i in range(200)]
+    items += [items[1], (None, "1", "d", "1", "1", "2024-02-01"), ("P1", None, "d", "1", "1", "2024-02-01")]
+    case = Case(spark, [(f"P{i}", "S1", "2024-01-10", "EUR", "1") for i in range(6)], items)
+    headers = case.judged.stored()
+    lines = judge_lines(case.items, headers, []).stored()
+    silver = write_buckets(silver_items(lines), new_folder(spark, "silver"), lines.placed_by)
+    table = row_accounting(case.headers, lines.staged(), silver_headers(headers), silver, quarantine_headers(headers), quarantine_items(lines))
+    assert exchanges(table) == 0
+    assert {r["table_name"]: r.asDict() for r in table.collect()} == case.accounting()
+    counted = case.accounting()["po_items"]
+    assert (counted["staged"], counted["repeated"], counted["unaccounted"]) == (202, 1, 0)
+
+
+def test_numbers_beyond_64_bits_are_kept_and_judged(spark, rows):
+    wide = "12345678901234567890123456789012345678"
+    items = [("P1", wide, "d", "1", "1", "2024-02-01"), ("P1", wide, None, "1", "1", "2024-02-01"),
+             ("P1", wide[:-1] + "9", "d", "-" + wide, "1", "2024-02-01"), ("P1", "9223372036854775808", "d", "2.5", "1", "2024-02-01"),
+             ("P1", "7", "d", "1" + wide, "1", "2024-02-01")]
+    case = Case(spark, [GOOD], items)
+    stored = case.lines.stored()
+    assert rows(stored.lines) == rows(case.lines.lines) and stored.lines.dtypes == case.lines.lines.dtypes
+    assert rows(stored.staged()) == rows(case.items)
+    kept = [(str(n), str(q)) for n, q in rows(silver_items(stored), "item_no", "quantity")]
+    assert sorted(kept) == sorted([(wide[:-1] + "9", "-" + wide), ("9223372036854775808", "3")])
+    assert rows(quarantine_items(stored), "record_id", "rule_name") == [
+        (f"P1|{wide}", "missing_description"), ("P1|7", "missing_quantity")]
+    assert case.accounting()["po_items"] == {
+        "table_name": "po_items", "staged": 4, "repeated": 1, "silver": 2, "quarantined": 2, "unaccounted": 0}

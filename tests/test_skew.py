@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgersieve.operators.ranking import number_rows, weighted_positions
-from ledgersieve.operators.skew import HotKey, find_hot_keys, skew_safe_join, unroll
+from ledgersieve.operators.skew import HotKey, find_hot_keys, hashed_joins, skew_safe_join, unroll
 
 
 @pytest.fixture
@@ -92,3 +92,38 @@ def test_join_takes_known_heavy_keys_without_looking(spark, skewed, rows):
     given = skew_safe_join(skewed, other, "k", "left", [HotKey("hot", 5), HotKey(None, 3)])
     assert rows(given) == rows(skewed.join(other, "k", "left"))
     assert Counter(r["v"] for r in given.collect()) == {1: 300, None: 600}
+
+
+def test_heavy_keys_of_several_columns_are_told_apart(spark, hot_at_ten):
+    rows = [("a", "b", i) for i in range(50)] + [("b", f"x{i}", i) for i in range(20)]
+    found = find_hot_keys(spark.createDataFrame(rows, "k string, l string, m int"), "k", "l", "m")
+    assert {c: {h.value for h in hot} for c, hot in found.items()} == {"k": {"a", "b"}, "l": {"b"}, "m": set()}
+
+
+def test_joins_are_hashed_while_asked_for(spark, rows):
+    """Small shuffled sides need no sort; outside, and under a threshold of the session's own, all is as before."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(name)
+
+    def joined():
+        big = spark.range(1000).selectExpr("id % 100 AS k", "id AS n")
+        df = big.join(spark.range(50).selectExpr("id AS k", "id * 2 AS m"), "k", "left")
+        return rows(df), df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    try:
+        plain, sorted_plan = joined()
+        with hashed_joins(spark):
+            found, hashed_plan = joined()
+        assert found == plain and spark.conf.get(name) == before
+        assert "SortMergeJoin" in sorted_plan and "ShuffledHashJoin" in hashed_plan and "SortMergeJoin" not in hashed_plan
+        with pytest.raises(ValueError), hashed_joins(spark):
+            raise ValueError
+        assert spark.conf.get(name) == before
+        spark.conf.set(name, "1")
+        with hashed_joins(spark):
+            assert spark.conf.get(name) == "1"
+        assert spark.conf.get(name) == "1"
+    finally:
+        spark.conf.set(name, before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
