@@ -103,6 +103,7 @@ def test_heavy_keys_of_several_columns_are_told_apart(spark, hot_at_ten):
 def test_joins_are_hashed_while_asked_for(spark, rows):
     """Small shuffled sides need no sort; outside, and under a threshold of the session's own, all is as before."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
     name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
     before = spark.conf.get(name)
 
@@ -126,4 +127,5 @@ def test_joins_are_hashed_while_asked_for(spark, rows):
         assert spark.conf.get(name) == "1"
     finally:
         spark.conf.set(name, before)
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
